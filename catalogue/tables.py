@@ -12,7 +12,7 @@ from catalogue.blocks import q, sql
 from catalogue.inputs import feature_rows, labelled, normalized, registrations, source_rows, split_rows
 from catalogue.registry import n, pct, query, r
 from fleetprep import contracts as K
-from fleetprep.cluster import shared_folder, stage
+from fleetprep.cluster import settle, shared_folder, stage
 from fleetprep.functions.text import comparison_key, name
 from fleetprep.functions.values import parse_bound, present, right_closed_class
 from fleetprep.operators import makes, schema
@@ -270,7 +270,7 @@ def _(spark, sf):
 
 def _spelled(spark, sf):
     rows = normalized(spark, sf)
-    return makes.with_canonical(rows, K.MAKE, makes.canonical_variants(rows, K.MAKE))
+    return makes.with_canonical(rows, K.MAKE, settle(makes.canonical_variants(rows, K.MAKE)))
 
 
 _pair_names = "eu AS manufacturer_name_eu, oem AS manufacturer_name_oem, make AS manufacturer_make"
@@ -294,9 +294,8 @@ def _(spark, sf):
 ))
 def _(spark, sf):
     rows = _spelled(spark, sf)
-    pairs = makes.reliable_pairs(
-        makes.pair_share(rows, K.MAKE, K.MAKER_EU, K.MAKER_OEM), K.MAKE, K.MAKER_EU, K.MAKER_OEM, K.MIN_PAIR_SHARE
-    )
+    shares = makes.pair_share(rows, K.MAKE, K.MAKER_EU, K.MAKER_OEM)
+    pairs = settle(makes.reliable_pairs(shares, K.MAKE, K.MAKER_EU, K.MAKER_OEM, K.MIN_PAIR_SHARE))
     kind = F.when(makes.is_digits(name(K.MAKE)), "numeric").otherwise("text")
     out = makes.resolve_numeric_make(rows.withColumn("kind", kind), K.MAKE, K.MAKER_EU, K.MAKER_OEM, pairs)
     return out.select(K.KEY, "kind", K.MAKE)

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -49,31 +50,35 @@ def local_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
     return None if rows is None else df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def settle(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Compute a derived table once: held by the driver if it is small, else staged in the shared folder."""
+@dataclass(frozen=True)
+class Settled:
+    """A derived table that has been computed once; small ones are held by the driver and fit for broadcasting."""
+
+    rows: DataFrame
+    small: bool
+
+
+def settle(df: DataFrame, max_rows: int = SMALL_ROWS) -> Settled:
     small = local_table(df, max_rows)
-    return stage(df) if small is None else small
+    return Settled(stage(df), False) if small is None else Settled(small, True)
 
 
 def lookup_join(
     fact: DataFrame,
-    lookup: DataFrame,
+    lookup: Settled,
     keys: Sequence[str],
-    max_rows: int = SMALL_ROWS,
     hot_share: int = 1000,
 ) -> DataFrame:
     """Left join of a lookup table that has one row per key; a missing key finds nothing.
 
-    A lookup of at most max_rows rows is broadcast, so the fact rows do not move. A larger one is joined by a shuffle,
+    A lookup that was found to be small is broadcast, so the fact rows do not move. A larger one is joined by a shuffle,
     but the keys that each hold more than 1/hot_share of the fact rows - there can be at most hot_share of them - are
     taken out and joined by broadcast, as are missing keys, so that no task gets a hot key.
     """
     keys = list(keys)
-    small = local_table(lookup, max_rows)
-    if small is not None:
-        return fact.join(F.broadcast(small), keys, "left")
+    if lookup.small:
+        return fact.join(F.broadcast(lookup.rows), keys, "left")
 
-    lookup = stage(lookup)
     any_missing = F.lit(False)
     for k in keys:
         any_missing = any_missing | name(k).isNull()
@@ -85,9 +90,9 @@ def lookup_join(
     heavy = fact.sparkSession.createDataFrame(heavy.collect(), heavy.schema).withColumn("_hot", F.lit(True))
     marked = fact.join(F.broadcast(heavy), keys, "left")
     is_hot = any_missing | F.coalesce(F.col("_hot"), F.lit(False))
-    hot_lookup = lookup.join(F.broadcast(heavy), keys, "left_semi")
+    hot_lookup = lookup.rows.join(F.broadcast(heavy), keys, "left_semi")
     hot = marked.where(is_hot).drop("_hot").join(F.broadcast(hot_lookup), keys, "left")
-    cold = marked.where(~is_hot).drop("_hot").join(lookup, keys, "left")
+    cold = marked.where(~is_hot).drop("_hot").join(lookup.rows, keys, "left")
     return hot.unionByName(cold)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetprep.cluster import lookup_join, settle
+from fleetprep.cluster import Settled, lookup_join, settle
 from fleetprep.functions.text import comparison_key, is_digits, name, strip, strip_upper
 from fleetprep.operators.schema import require_columns
 from fleetprep.operators.shape import text_columns
@@ -42,12 +42,12 @@ def canonical_variants(df: DataFrame, make: str) -> DataFrame:
     )
 
 
-def with_canonical(df: DataFrame, make: str, canon: DataFrame) -> DataFrame:
+def with_canonical(df: DataFrame, make: str, canon: Settled) -> DataFrame:
     """Replace text makes by their canonical spelling; numeric and missing makes stay."""
     text = name(make).isNotNull() & ~is_digits(name(make))
     keyed = df.withColumn("_key", F.when(text, comparison_key(name(make))))
-    lookup = canon.select(F.col("comparison_key").alias("_key"), F.col("canonical").alias("_canonical"))
-    joined = lookup_join(keyed, lookup, ["_key"])
+    lookup = canon.rows.select(F.col("comparison_key").alias("_key"), F.col("canonical").alias("_canonical"))
+    joined = lookup_join(keyed, Settled(lookup, canon.small), ["_key"])
     return joined.withColumn(make, F.coalesce("_canonical", name(make))).select(*[name(c) for c in df.columns])
 
 
@@ -78,14 +78,14 @@ def reliable_pairs(shares: DataFrame, make: str, first: str, second: str, min_sh
     ).where(F.col("share") >= min_share)
 
 
-def resolve_numeric_make(df: DataFrame, make: str, first: str, second: str, pairs: DataFrame) -> DataFrame:
+def resolve_numeric_make(df: DataFrame, make: str, first: str, second: str, pairs: Settled) -> DataFrame:
     """Numeric makes become the reliable make of their maker pair, or missing."""
     numeric = is_digits(name(make))
     keyed = df.withColumn("_a", F.when(numeric, strip_upper(name(first)))).withColumn(
         "_b", F.when(numeric, strip_upper(name(second)))
     )
-    lookup = pairs.select(name(first).alias("_a"), name(second).alias("_b"), name(make).alias("_make"))
-    joined = lookup_join(keyed, lookup, ["_a", "_b"])
+    lookup = pairs.rows.select(name(first).alias("_a"), name(second).alias("_b"), name(make).alias("_make"))
+    joined = lookup_join(keyed, Settled(lookup, pairs.small), ["_a", "_b"])
     return joined.withColumn(make, F.when(numeric, F.col("_make")).otherwise(name(make))).select(*[name(c) for c in df.columns])
 
 
@@ -108,11 +108,11 @@ def normalize_make(df: DataFrame, make: str, first: str, second: str, min_share:
             F.count("*").alias("numeric_before"), F.count(name(make)).alias("numeric_resolved"),
             zero.alias("typographic_keys"), zero.alias("reliable_manufacturer_pairs"),
         ),
-        canon.agg(
+        canon.rows.agg(
             zero.alias("numeric_before"), zero.alias("numeric_resolved"),
             F.count("*").alias("typographic_keys"), zero.alias("reliable_manufacturer_pairs"),
         ),
-        pairs.agg(
+        pairs.rows.agg(
             zero.alias("numeric_before"), zero.alias("numeric_resolved"),
             zero.alias("typographic_keys"), F.count("*").alias("reliable_manufacturer_pairs"),
         ),

@@ -255,7 +255,8 @@ def distribution_summary(df: DataFrame, column: str) -> DataFrame:
         F.stddev_samp(c).alias("std"), corrected.alias("skewness"),
     ).withColumn("variable", F.lit(column))
     cuts = quantiles(df, {column: c}, [0.25, 0.5, 0.75])
-    return moments.join(cuts.withColumnsRenamed({"q0": "q1", "q1": "median", "q2": "q3"}), "variable")
+    cuts = cuts.select("variable", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
+    return moments.join(cuts, "variable")
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:

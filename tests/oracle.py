@@ -62,15 +62,9 @@ def compare(spark, con, sf_dir, query, text):
 
 
 def session():
-    from pyspark.sql import SparkSession
-
-    spark = (
-        SparkSession.builder.master("local[8]").appName("oracle")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "12g").config("spark.ui.enabled", "false").getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    from fleetprep.session import local_session
+
+    return local_session(8, "oracle")
 
 
 if __name__ == "__main__":
