@@ -38,6 +38,12 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core for rows that are about to be passed over many times."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fetch_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> list[Row] | None:
     """The rows if there are at most max_rows of them, else None."""
     rows = df.limit(max_rows + 1).collect()

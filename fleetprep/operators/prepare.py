@@ -57,7 +57,7 @@ class Params:
         return [*rules.numeric, *rules.indicators.values(), *one_hot]
 
     def to_json(self) -> str:
-        return json.dumps(asdict(self), ensure_ascii=False, sort_keys=True)
+        return json.dumps(asdict(self), ensure_ascii=False)
 
     @staticmethod
     def from_json(text: str) -> "Params":

@@ -2,21 +2,25 @@
 
 A position of interest (the 20 % row of a hash order, the end of a fold) is narrowed down by histograms of a whole-number
 order column. Each pass aggregates one column and returns a bounded number of counts; what comes out is the key at that
-position, so that the split itself becomes a comparison in a projection and no row has to move.
+position, so that the split itself becomes a comparison in a projection and no row has to move. 10^12 rows need two
+histograms and one look at the few thousand rows that are left.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BINS = 8192
-LEAF_ROWS = 4096
-MAX_STRATA = 1000
+BINS = 16_384  # counts per pass and range
+STRATUM_BINS = 2_048  # counts per pass and range when there are strata
+MAX_STRATA = 100
+LEAF_ROWS = 16_384  # rows that may be listed to read off a position
+
+Positions = Callable[[Mapping[object, int]], Mapping[object, Sequence[int]]]
 
 
 @dataclass(frozen=True)
@@ -27,121 +31,126 @@ class Mark:
     tie: object
 
 
-@dataclass
+@dataclass(frozen=True)
 class _Range:
     stratum: object
     lo: int
     hi: int
-    skipped: int  # rows of the stratum below lo
-    rows: int
+    skipped: int = 0  # rows of the stratum below lo
+    rows: int = 0
 
 
-def stratum_sizes(df: DataFrame, stratum: Column, order: Column) -> dict:
-    """stratum -> (rows, smallest order, largest order); missing strata are not counted."""
-    rows = (
-        df.select(stratum.alias("s"), order.alias("x")).where("s is not null and x is not null")
-        .groupBy("s").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-        .limit(MAX_STRATA + 1).collect()
-    )
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata; stratify by a column with fewer values")
-    return {r.s: (r.n, r.lo, r.hi) for r in rows}
+def bounds(df: DataFrame, order: Column) -> tuple[int, int] | None:
+    """Smallest and largest order number, None without rows."""
+    row = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
+    return None if row.lo is None else (row.lo, row.hi)
 
 
 def marks_at(
     df: DataFrame,
     order: Column,
     tie: Column,
-    positions: Mapping[object, Sequence[int]],
+    lo: int,
+    hi: int,
+    positions: Positions,
     stratum: Column | None = None,
-    sizes: Mapping[object, tuple[int, int, int]] | None = None,
-) -> dict[tuple[object, int], Mark]:
-    """Per stratum, the rows at the given positions (1 = first) of the order (order, tie).
+) -> tuple[dict[object, int], dict[tuple[object, int], Mark]]:
+    """(rows per stratum, mark per (stratum, position)).
 
-    order must be a whole-number column; positions must lie within the stratum. Rows with a missing order or tie do not
-    take part. Copies of one key share their place, so the key should be unique for the sizes to come out exactly.
+    order is a whole-number column between lo and hi; ties are ordered by tie. positions gets the rows per stratum, which
+    the first histogram has counted along the way, and names the wanted positions, 1 for the first row. Rows with a missing
+    order or stratum do not take part. Copies of one key share their place, so the key should be unique for the sizes to
+    come out exactly.
     """
+    bins = BINS if stratum is None else STRATUM_BINS
     stratum = F.lit(0) if stratum is None else stratum
     base = df.select(stratum.alias("s"), order.alias("x"), tie.alias("t")).where("s is not null and x is not null")
-    sizes = sizes or stratum_sizes(df, stratum, order)
-    open_ranges: dict[tuple[object, int], _Range] = {}
-    for s, wanted in positions.items():
-        n, lo, hi = sizes[s]
+
+    everything = _Range(None, lo, hi)
+    width = _width(everything, bins)
+    first = (
+        base.groupBy("s", F.expr(f"(x - {lo}L) div {width}L").alias("b")).agg(F.count("*").alias("n"))
+        .limit(bins * MAX_STRATA + 1).collect()
+    )
+    if len(first) > bins * MAX_STRATA:
+        raise ValueError(f"more than {MAX_STRATA} strata; stratify by a column with fewer values")
+    counts: dict[object, list[tuple[int, int]]] = {}
+    for row in first:
+        counts.setdefault(row.s, []).append((row.b, row.n))
+    sizes = {s: sum(n for _, n in c) for s, c in counts.items()}
+
+    at: dict[tuple[object, int], _Range] = {}
+    for s, wanted in positions(sizes).items():
         for p in wanted:
-            if not 1 <= p <= n:
-                raise ValueError(f"position {p} is outside 1..{n}")
-            open_ranges[(s, p)] = _Range(s, lo, hi, 0, n)
-
-    def distinct(ranges):
-        return sorted({(repr(r.stratum), r.lo, r.hi): r for r in ranges}.items())
-
-    while True:
-        wide = distinct(r for r in open_ranges.values() if r.rows > LEAF_ROWS and r.hi > r.lo)
-        if not wide:
-            break
-        counts = _histograms(base, [r for _, r in wide])
-        for target, r in open_ranges.items():
-            if r.rows <= LEAF_ROWS or r.hi == r.lo:
-                continue
-            i = [k for k, _ in wide].index((repr(r.stratum), r.lo, r.hi))
-            width = _width(r)
-            before = r.skipped
-            for b, n in counts[i]:
-                if before + n >= target[1]:
-                    lo = r.lo + b * width
-                    open_ranges[target] = _Range(r.stratum, lo, min(lo + width - 1, r.hi), before, n)
-                    break
-                before += n
-
-    leaves = distinct(open_ranges.values())
-    found: dict[tuple[object, int], Mark] = {}
-    in_leaf = _which(base, [r for _, r in leaves])
-    members = base.withColumn("i", in_leaf).where("i is not null")
-    small = [i for i, (_, r) in enumerate(leaves) if r.rows <= LEAF_ROWS]
-    if small:
-        rows = members.where(F.col("i").isin(small)).select("i", "x", "t").orderBy("i", "x", "t").collect()
-        lists: dict[int, list] = {}
-        for row in rows:
-            lists.setdefault(row.i, []).append(Mark(row.x, row.t))
-    for target, r in open_ranges.items():
-        i = [k for k, _ in leaves].index((repr(r.stratum), r.lo, r.hi))
-        at = target[1] - r.skipped
-        if i in small:
-            found[target] = lists[i][at - 1]
-        else:  # more rows than a leaf holds share one order number: only copies of one key can do that
-            ends = members.where(F.col("i") == i).agg(F.min("x").alias("x"), F.min("t").alias("lo"), F.max("t").alias("hi"))
-            row = ends.first()
-            if row.lo != row.hi:
-                raise ValueError("too many different keys share one order number; use a key-unique order")
-            found[target] = Mark(row.x, row.lo)
-    return found
+            if not 1 <= p <= sizes.get(s, 0):
+                raise ValueError(f"position {p} is outside 1..{sizes.get(s, 0)}")
+            at[(s, p)] = _narrow(_Range(s, lo, hi, 0, sizes[s]), p, sorted(counts[s]), width)
+
+    while wide := sorted({r for r in at.values() if r.rows > LEAF_ROWS and r.hi > r.lo}, key=repr):
+        found = _histograms(base, wide, bins)
+        at = {
+            (s, p): _narrow(r, p, found[r], _width(r, bins)) if r in found else r for (s, p), r in at.items()
+        }
+    return sizes, _read_off(base, at)
+
 
+def _width(r: _Range, bins: int) -> int:
+    return (r.hi - r.lo) // bins + 1
 
-def _width(r: _Range) -> int:
-    return (r.hi - r.lo) // BINS + 1
 
+def _narrow(r: _Range, position: int, counts: Sequence[tuple[int, int]], width: int) -> _Range:
+    """The bin of the range that holds the position."""
+    before = r.skipped
+    for b, n in counts:
+        if before + n >= position:
+            lo = r.lo + b * width
+            return _Range(r.stratum, lo, min(lo + width - 1, r.hi), before, n)
+        before += n
+    raise AssertionError("a position lies within the counted rows")
 
-def _inside(r: _Range) -> Column:
-    return (F.col("s") == F.lit(r.stratum)) & F.col("x").between(r.lo, r.hi)
 
+def _which(ranges: Sequence[_Range]) -> Column:
+    def inside(r: _Range) -> Column:
+        return (F.col("s") == F.lit(r.stratum)) & F.col("x").between(r.lo, r.hi)
 
-def _which(base: DataFrame, ranges: Sequence[_Range]) -> Column:
-    return reduce(lambda out, ir: out.when(_inside(ir[1]), F.lit(ir[0])), enumerate(ranges), F.when(F.lit(False), F.lit(0)))
+    return reduce(lambda out, ir: out.when(inside(ir[1]), F.lit(ir[0])), enumerate(ranges), F.when(F.lit(False), F.lit(0)))
 
 
-def _histograms(base: DataFrame, ranges: Sequence[_Range]) -> dict[int, list[tuple[int, int]]]:
-    """Rows per bin of each range; at most BINS counts per range reach the driver."""
+def _histograms(base: DataFrame, ranges: Sequence[_Range], bins: int) -> dict[_Range, list[tuple[int, int]]]:
     b = F.when(F.lit(False), F.lit(0).cast("bigint"))
-    for r in ranges:
-        b = b.when(_inside(r), F.expr(f"(x - {r.lo}L) div {_width(r)}L"))
+    for i, r in enumerate(ranges):
+        b = b.when(F.col("i") == i, F.expr(f"(x - {r.lo}L) div {_width(r, bins)}L"))
     rows = (
-        base.select(_which(base, ranges).alias("i"), b.alias("b")).where("i is not null")
-        .groupBy("i", "b").agg(F.count("*").alias("n")).collect()
+        base.withColumn("i", _which(ranges)).where("i is not null").groupBy("i", b.alias("b")).agg(F.count("*").alias("n")).collect()
     )
-    out: dict[int, list[tuple[int, int]]] = {i: [] for i in range(len(ranges))}
+    out: dict[_Range, list[tuple[int, int]]] = {r: [] for r in ranges}
     for row in rows:
-        out[row.i].append((row.b, row.n))
-    return {i: sorted(v) for i, v in out.items()}
+        out[ranges[row.i]].append((row.b, row.n))
+    return {r: sorted(c) for r, c in out.items()}
+
+
+def _read_off(base: DataFrame, at: Mapping[tuple[object, int], _Range]) -> dict[tuple[object, int], Mark]:
+    leaves = sorted(set(at.values()), key=repr)
+    if not leaves:
+        return {}
+    members = base.withColumn("i", _which(leaves)).where("i is not null")
+    small = [i for i, r in enumerate(leaves) if r.rows <= LEAF_ROWS]
+    lists: dict[int, list[Mark]] = {i: [] for i in small}
+    if small:
+        for row in members.where(F.col("i").isin(small)).select("i", "x", "t").collect():
+            lists[row.i].append(Mark(row.x, row.t))
+    out = {}
+    for (s, p), r in at.items():
+        i = leaves.index(r)
+        if i in lists:
+            out[(s, p)] = sorted(lists[i], key=lambda m: (m.order, m.tie))[p - r.skipped - 1]
+            continue
+        # more rows than a leaf holds share one order number: only copies of one key can do that
+        row = members.where(F.col("i") == i).agg(F.min("x").alias("x"), F.min("t").alias("lo"), F.max("t").alias("hi")).first()
+        if row.lo != row.hi:
+            raise ValueError("too many different keys share one order number; use a key-unique order")
+        out[(s, p)] = Mark(row.x, row.lo)
+    return out
 
 
 def at_or_before(order: Column, tie: Column, mark: Mark) -> Column:

@@ -14,6 +14,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetprep.cluster import spread
 from fleetprep.functions.text import name
 from fleetprep.operators.metrics import evaluate_classes, regression_metrics
 from fleetprep.operators.models import LABEL, PREDICTION, fit_timed
@@ -53,7 +54,7 @@ def random_search(
 
     The folds are a column of the table, so each is a filter on one stored copy; only scores come back to the driver.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(job: tuple[int, int]) -> tuple[int, float, float, float | None]:
         c, f = job

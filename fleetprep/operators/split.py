@@ -6,7 +6,7 @@ sort of the table, no shuffle of its rows, and the same rows on every run and af
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from decimal import ROUND_CEILING, Decimal
 from functools import reduce
 
@@ -15,106 +15,93 @@ from pyspark.sql import functions as F
 
 from fleetprep.functions.hashing import HASH_MAX, HASH_MIN, hash_number, hash_text
 from fleetprep.functions.text import name
-from fleetprep.operators.ranks import Mark, at_or_before, marks_at, stratum_sizes
+from fleetprep.operators.ranks import Mark, at_or_before, bounds, marks_at
 
 
-def exact_test_rows(n: int, share: str | float) -> int:
+def exact_rows(n: int, share: str | float) -> int:
     """ceil(share * n) in decimal arithmetic."""
     return int((Decimal(str(share)) * n).to_integral_value(ROUND_CEILING))
 
 
-class SplitRule:
-    """Which rows belong to the first side: those up to a mark in the hash order of their stratum."""
+def allocate(counts: Mapping[str, int], rows: int) -> dict[str, int]:
+    """Whole numbers per class proportional to the counts that sum to rows: floors, then the largest remainders."""
+    total = sum(counts.values())
+    exact = {k: (n * rows // total, n * rows % total) for k, n in counts.items()}
+    out = {k: whole for k, (whole, _) in exact.items()}
+    short = rows - sum(out.values())
+    for k in sorted(exact, key=lambda c: (-exact[c][1], c))[:short]:
+        out[k] += 1
+    return out
 
-    def __init__(self, key: str, seed: int | str, marks: Mapping[object, Mark | None], stratum: str | None = None):
-        self.key, self.seed, self.marks, self.stratum = key, seed, dict(marks), stratum
 
-    def first_side(self) -> Column:
-        order, tie = hash_number(name(self.key), self.seed), hash_text(name(self.key), self.seed)
-        out = F.when(F.lit(False), F.lit(False))
-        for s, mark in self.marks.items():
-            mine = F.lit(True) if self.stratum is None else name(self.stratum) == F.lit(s)
-            out = out.when(mine, F.lit(False) if mark is None else at_or_before(order, tie, mark))
-        return out.otherwise(F.lit(False))
+def fold_sizes(n: int, k: int) -> list[int]:
+    return [n // k + (1 if i < n % k else 0) for i in range(k)]
 
 
-def _hash_rule(
-    df: DataFrame, key: str, seed, sizes: Mapping[object, int], counts: Mapping[object, int], stratum: str | None = None
-) -> SplitRule:
-    """The first `sizes` rows of each stratum in hash order."""
-    order, tie = hash_number(name(key), seed), hash_text(name(key), seed)
-    s = None if stratum is None else name(stratum)
-    wanted = {k: [m] for k, m in sizes.items() if m > 0}
-    marks = marks_at(df, order, tie, wanted, s, {k: (n, HASH_MIN, HASH_MAX) for k, n in counts.items()}) if wanted else {}
-    return SplitRule(key, seed, {k: marks.get((k, m)) for k, m in sizes.items()}, stratum)
+class HashOrder:
+    """Rows ordered by the hash of their key, within a stratum if there is one."""
 
+    def __init__(self, key: str, seed: int | str, stratum: str | None = None):
+        self.order, self.tie, self.stratum = hash_number(name(key), seed), hash_text(name(key), seed), stratum
 
-def _counts(df: DataFrame, stratum: str | None) -> dict:
-    """Rows per stratum; without a stratum all rows are stratum 0."""
-    label = F.lit(0) if stratum is None else name(stratum)
-    return {s: n for s, (n, _, _) in stratum_sizes(df, label, F.lit(0).cast("bigint")).items()}
+    def marks(self, df: DataFrame, ends: Callable[[Mapping], Mapping]):
+        """Sizes and marks for the row numbers that ends() names per stratum; a row number 0 has no mark."""
+        wanted = lambda sizes: {s: sorted({p for p in ps if p > 0}) for s, ps in ends(sizes).items()}
+        label = None if self.stratum is None else name(self.stratum)
+        return marks_at(df, self.order, self.tie, HASH_MIN, HASH_MAX, wanted, label)
+
+    def up_to(self, take: Mapping[object, int], marks: Mapping[tuple[object, int], Mark]) -> Column:
+        """True for the first take[s] rows of each stratum. No mark is needed for none or all of them."""
+        out = F.when(F.lit(False), F.lit(False))
+        for s, n in take.items():
+            mine = F.lit(True) if self.stratum is None else name(self.stratum) == F.lit(s)
+            mark = marks.get((s, n))
+            out = out.when(mine, F.lit(n > 0) if mark is None else at_or_before(self.order, self.tie, mark))
+        return out.otherwise(F.lit(False))
 
 
-def fit_split(df: DataFrame, key: str, share: str | float, seed: int | str) -> SplitRule:
-    counts = _counts(df, None)
-    return _hash_rule(df, key, seed, {0: exact_test_rows(counts.get(0, 0), share)}, counts)
+def _first(df: DataFrame, key: str, seed: int | str, take: Callable[[Mapping], Mapping], stratum: str | None = None):
+    """(sizes, taken sizes, condition) for the first rows in hash order; take maps sizes to rows wanted per stratum."""
+    order = HashOrder(key, seed, stratum)
+    sizes, marks = order.marks(df, lambda n: {s: [m] for s, m in take(n).items() if 0 < m < n[s]})
+    taken = take(sizes)
+    return sizes, taken, order.up_to(taken, marks)
 
 
 def train_test_split(df: DataFrame, key: str, share: str | float, seed: int | str, part: str = "part") -> DataFrame:
     """Add a part column: exactly ceil(share * n) rows are 'test', the others 'train'."""
-    rule = fit_split(df, key, share, seed)
-    return df.withColumn(part, F.when(rule.first_side(), "test").otherwise("train"))
+    _, _, chosen = _first(df, key, seed, lambda n: {s: exact_rows(k, share) for s, k in n.items()})
+    return df.withColumn(part, F.when(chosen, "test").otherwise("train"))
 
 
 def sample_rows(df: DataFrame, key: str, rows: int, seed: int | str) -> DataFrame:
     """min(rows, n) rows without replacement."""
-    counts = _counts(df, None)
-    if rows >= counts.get(0, 0):
-        return df
-    return df.where(_hash_rule(df, key, seed, {0: rows}, counts).first_side())
+    sizes, taken, chosen = _first(df, key, seed, lambda n: {s: min(rows, k) for s, k in n.items()})
+    return df if sizes == taken else df.where(chosen)
 
 
 def development_sample(
     df: DataFrame, key: str, rows: int, share: str | float, seed: int | str, part: str = "part"
 ) -> DataFrame:
     """A seeded sample of at most that many rows, split into 'train' and 'validation'."""
-    sample = sample_rows(df, key, rows, f"{seed}|sample")
-    rule = fit_split(sample, key, share, f"{seed}|validation")
-    return sample.withColumn(part, F.when(rule.first_side(), "validation").otherwise("train"))
-
-
-def allocate(counts: Mapping[str, int], rows: int) -> dict[str, int]:
-    """Whole numbers per class proportional to the counts that sum to rows: floors, then the largest remainders."""
-    total = sum(counts.values())
-    exact = {k: (n * rows // total, n * rows % total) for k, n in counts.items()}
-    out = {k: whole for k, (whole, _) in exact.items()}
-    short = rows - sum(out.values())
-    for k in sorted(exact, key=lambda c: (-exact[c][1], c))[:short]:
-        out[k] += 1
-    return out
+    sample = train_test_split(sample_rows(df, key, rows, f"{seed}|sample"), key, share, f"{seed}|validation", part)
+    return sample.withColumn(part, F.when(name(part) == "test", "validation").otherwise("train"))
 
 
 def stratified_split(
     df: DataFrame, key: str, stratum: str, share: str | float, seed: int | str, part: str = "part"
 ) -> DataFrame:
     """As train_test_split, with the class shares kept in both parts."""
-    counts = _counts(df, stratum)
-    sizes = allocate(counts, exact_test_rows(sum(counts.values()), share)) if counts else {}
-    rule = _hash_rule(df, key, seed, sizes, counts, stratum)
-    return df.withColumn(part, F.when(rule.first_side(), "test").otherwise("train"))
+    take = lambda n: allocate(n, exact_rows(sum(n.values()), share)) if n else {}
+    _, _, chosen = _first(df, key, seed, take, stratum)
+    return df.withColumn(part, F.when(chosen, "test").otherwise("train"))
 
 
 def stratified_sample(df: DataFrame, key: str, stratum: str, rows: int, seed: int | str) -> DataFrame:
     """min(rows, n) rows without replacement, the class shares kept."""
-    counts = _counts(df, stratum)
-    total = sum(counts.values())
-    if rows >= total:
-        return df
-    return df.where(_hash_rule(df, key, seed, allocate(counts, rows), counts, stratum).first_side())
-
-
-def fold_sizes(n: int, k: int) -> list[int]:
-    return [n // k + (1 if i < n % k else 0) for i in range(k)]
+    take = lambda n: allocate(n, min(rows, sum(n.values()))) if n else {}
+    sizes, taken, chosen = _first(df, key, seed, take, stratum)
+    return df if sizes == taken else df.where(chosen)
 
 
 def _fold_number(order: Column, tie: Column, marks: list[Mark | None]) -> Column:
@@ -132,29 +119,24 @@ def _ends(n: int, k: int) -> list[int]:
 def k_folds(df: DataFrame, key: str, k: int, fold: str = "fold") -> DataFrame:
     """Contiguous folds 0..k-1 in key order (a whole-number key), sizes differing by at most one."""
     order = name(key).cast("bigint")
-    sizes = stratum_sizes(df, F.lit(0), order)
-    if not sizes:
+    limits = bounds(df, order)
+    if limits is None:
         return df.withColumn(fold, F.lit(0))
-    ends = _ends(sizes[0][0], k)
-    marks = marks_at(df, order, order, {0: sorted({e for e in ends if e > 0})}, None, sizes)
-    return df.withColumn(fold, _fold_number(order, order, [marks.get((0, e)) for e in ends]))
+    sizes, marks = marks_at(
+        df, order, order, *limits, lambda n: {s: sorted({e for e in _ends(m, k) if e}) for s, m in n.items()}
+    )
+    return df.withColumn(fold, _fold_number(order, order, [marks.get((0, e)) for e in _ends(sizes[0], k)]))
 
 
 def stratified_folds(df: DataFrame, key: str, stratum: str, k: int, seed: int | str, fold: str = "fold") -> DataFrame:
     """Shuffled folds 0..k-1 that each hold an equal share of every class, sizes per class differing by at most one."""
-    order, tie = hash_number(name(key), seed), hash_text(name(key), seed)
-    counts = _counts(df, stratum)
-    ends = {s: _ends(n, k) for s, n in counts.items()}
-    wanted = {s: sorted({e for e in es if e > 0}) for s, es in ends.items()}
-    marks = marks_at(
-        df, order, tie, {s: w for s, w in wanted.items() if w}, name(stratum),
-        {s: (n, HASH_MIN, HASH_MAX) for s, n in counts.items()},
-    )
+    h = HashOrder(key, seed, stratum)
+    sizes, marks = h.marks(df, lambda n: {s: _ends(m, k) for s, m in n.items()})
     out = reduce(
         lambda col, s: col.when(
-            name(stratum) == F.lit(s), _fold_number(order, tie, [marks.get((s, e)) for e in ends[s]])
+            name(stratum) == F.lit(s), _fold_number(h.order, h.tie, [marks.get((s, e)) for e in _ends(sizes[s], k)])
         ),
-        counts, F.when(F.lit(False), F.lit(0)),
+        sizes, F.when(F.lit(False), F.lit(0)),
     )
     return df.withColumn(fold, out)
 

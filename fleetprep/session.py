@@ -8,6 +8,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # wide tables make stages longer than the JVM compiles; such stages run faster operator by operator
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # no call-site lookup for every column expression that Python builds
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

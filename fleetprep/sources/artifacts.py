@@ -15,7 +15,7 @@ def save_json(spark: SparkSession, path: str, data: dict) -> None:
     """One small JSON object, written through Spark so that any storage works."""
     if not isinstance(data, dict):
         raise ValueError("the root must be an object")
-    text = json.dumps(data, ensure_ascii=False, sort_keys=True)
+    text = json.dumps(data, ensure_ascii=False)
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
