@@ -121,6 +121,26 @@ def _(spark, sf):
     return ranking.best_models(_comparison(spark, sf))
 
 
+_class_seconds = "(SELECT model, max(training_seconds) AS s FROM model_predictions GROUP BY model)"
+_class_picks = {
+    "best_macro_f1": ("-f_v", "f_v"), "fastest": ("s", "s"), "most_stable": ("abs(f_t - f_v)", "abs(f_t - f_v)"),
+}
+
+
+@query("best_models_classes", sql(
+    f"WITH {class_sql('model_predictions', 'model, part')}, c AS (SELECT r.model, avg(f1) FILTER (WHERE part = 'validation') AS f_v, "
+    f"avg(f1) FILTER (WHERE part = 'train') AS f_t, max(t.s) AS s FROM report r JOIN {_class_seconds} t ON t.model = r.model GROUP BY r.model) "
+    + " UNION ALL ".join(
+        f"SELECT * FROM (SELECT '{k}' AS criterion, model, {r(v)} AS value FROM c ORDER BY {o}, model LIMIT 1) {k}_z" for k, (o, v) in _class_picks.items()
+    ), "model_predictions",
+))
+def _(spark, sf):
+    rows = model_predictions(spark, sf)
+    table = M.with_gaps(M.evaluate_classes(rows, "class_true", "class_pred", ["model", K.PART]), [], _scores)
+    seconds = rows.groupBy("model").agg(F.max("training_seconds").alias("training_seconds"))
+    return ranking.best_models(table.join(seconds, "model"), ranking.CLASS_CRITERIA)
+
+
 _ranks = (
     "SELECT model, rank() OVER (ORDER BY rmse_validation) AS rank_performance, rank() OVER (ORDER BY abs(rmse_gap)) AS rank_generalization, "
     "rank() OVER (ORDER BY training_seconds) AS rank_training_time FROM regression_comparison"

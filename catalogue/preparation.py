@@ -351,3 +351,14 @@ def _(spark, sf):
 def _(spark, sf):
     filled, _modes = _filled(spark, sf)
     return Q.indicator_consistency(P.add_indicators(filled, K.INDICATORS), K.PART, K.INDICATORS)
+
+
+_all_gaps = [*K.CATEGORICAL_FEATURES, *K.NUMERIC_FEATURES]
+
+
+@query("remaining_missing", sql(
+    "SELECT * FROM (" + B.per_column(_all_gaps, "SELECT {v} AS variable, count(*) - count({c}) AS missing FROM features")
+    + ") z WHERE missing > 0 UNION ALL SELECT '(all)', " + " + ".join(f"count(*) - count({c})" for c in _all_gaps) + " FROM features", "features",
+))
+def _(spark, sf):
+    return Q.remaining_missing(feature_rows(spark, sf), _all_gaps)

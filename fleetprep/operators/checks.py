@@ -62,10 +62,13 @@ def cleaned_checks(
     for c in upper_codes:
         if c in here:
             tests[f"upper_case:{c}"] = nothing(name(c) != F.upper(name(c)))
+    # rows with a complete and unique key cannot be copies of each other, so the whole rows are compared only without one
+    ids = identifier_check(df, key).first() if key in here else None
+    unique = ids is not None and ids["duplicated"] == 0
+    tests["key_unique"] = unique
+    if unique:
+        return rows_of(df, tests | {"no_duplicate_rows": True})
     out = rows_of(df, tests)
-    if key in here:
-        unique = identifier_check(df, key).select(F.lit("key_unique").alias("check"), (F.col("duplicated") == 0).alias("ok"))
-        out = out.unionByName(unique)
     copies = duplicate_rows(df).select(F.lit("no_duplicate_rows").alias("check"), (F.col("duplicated") == 0).alias("ok"))
     return out.unionByName(copies)
 
@@ -159,9 +162,11 @@ def treatment_status(df: DataFrame, part: str, columns: Sequence[str]) -> DataFr
     return report.withColumn("status", F.when(clean, "OK").otherwise("to check"))
 
 
-def remaining_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(variable, missing) of the columns that still have gaps."""
-    return wide_to_long(df, columns, {"missing": missing_count}).where("missing > 0")
+def remaining_missing(df: DataFrame, columns: Sequence[str], total: str = "(all)") -> DataFrame:
+    """(variable, missing) of the columns that still have gaps, and the sum over all columns under its own name."""
+    gaps = wide_to_long(df, columns, {"missing": missing_count})
+    every = gaps.agg(F.sum("missing").alias("missing")).select(F.lit(total).alias("variable"), "missing")
+    return gaps.where("missing > 0").unionByName(every)
 
 
 def indicator_consistency(df: DataFrame, part: str, indicators: Mapping[str, str]) -> DataFrame:

@@ -8,17 +8,21 @@ from pyspark.sql import functions as F
 from fleetprep.functions.text import name
 
 
-def best_models(comparison: DataFrame, model: str = "model") -> DataFrame:
-    """(criterion, model, value): lowest MAE and RMSE, highest R2, fastest, most stable; ties to the first name."""
+REGRESSION_CRITERIA = {
+    "best_mae": (F.col, "mae_validation", 1), "best_rmse": (F.col, "rmse_validation", 1), "best_r2": (F.col, "r2_validation", -1),
+    "fastest": (F.col, "training_seconds", 1), "most_stable": (F.abs, "rmse_gap", 1),
+}
+CLASS_CRITERIA = {
+    "best_macro_f1": (F.col, "macro_f1_validation", -1), "fastest": (F.col, "training_seconds", 1), "most_stable": (F.abs, "macro_f1_gap", 1),
+}
+
+
+def best_models(comparison: DataFrame, criteria=REGRESSION_CRITERIA, model: str = "model") -> DataFrame:
+    """(criterion, model, value): the first model by each criterion, 1 for smallest and -1 for largest; ties to the first name."""
     m = name(model)
-    picks = {
-        "best_mae": (F.col("mae_validation"), 1), "best_rmse": (F.col("rmse_validation"), 1),
-        "best_r2": (F.col("r2_validation"), -1), "fastest": (F.col("training_seconds"), 1),
-        "most_stable": (F.abs("rmse_gap"), 1),
-    }
+    picks = {k: (of(column).cast("double"), sign) for k, (of, column, sign) in criteria.items()}
     one = comparison.agg(*[
-        F.min_by(F.struct(m.alias("model"), v.cast("double").alias("value")), F.struct(v * sign, m)).alias(k)
-        for k, (v, sign) in picks.items()
+        F.min_by(F.struct(m.alias("model"), v.alias("value")), F.struct(v * sign, m)).alias(k) for k, (v, sign) in picks.items()
     ])
     return one.select(F.inline(F.array(*[
         F.struct(F.lit(k).alias("criterion"), F.col(f"{k}.model").alias("model"), F.col(f"{k}.value").alias("value")) for k in picks

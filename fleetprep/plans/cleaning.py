@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetprep import contracts as K
+from fleetprep.cluster import stage
 from fleetprep.functions.text import name
 from fleetprep.operators.checks import cleaned_checks, enforce
 from fleetprep.operators.makes import alias_counts, apply_aliases, normalize_make, normalize_text
@@ -46,7 +47,9 @@ def checks(df: DataFrame) -> DataFrame:
 
 def clean_job(spark: SparkSession, source: str, target: str, rows: int | None = None) -> DataFrame:
     """CSV to CSV. With a row limit constant columns are kept, because a part of the rows proves nothing."""
-    result = clean(scan_csv(spark, source, rows), drop_constant=rows is None).rows
+    # the cleaning looks at a few columns several times, so the text is parsed once
+    source_rows = stage(scan_csv(spark, source, rows))
+    result = stage(clean(source_rows, drop_constant=rows is None).rows)
     enforce(checks(result))
     write_csv(result, target)
     back = scan_csv_dates(spark, target)

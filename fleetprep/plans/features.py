@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetprep import contracts as K
-from fleetprep.cluster import one_row
+from fleetprep.cluster import one_row, stage
 from fleetprep.functions.text import name
 from fleetprep.functions.values import month_angle
 from fleetprep.operators.checks import enforce, feature_checks
@@ -46,7 +46,7 @@ def checks(df: DataFrame) -> DataFrame:
 
 
 def feature_job(spark: SparkSession, source: str, target: str, rows: int | None = None) -> DataFrame:
-    result = build(scan_csv_dates(spark, source, rows=rows))
+    result = build(stage(scan_csv_dates(spark, source, rows=rows)))
     enforce(checks(result))
     write_csv(result, target)
     return result

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetprep import contracts as K
+from fleetprep.cluster import stage
 from fleetprep.operators import checks as Q
 from fleetprep.operators.prepare import Params, Rules, fit, transform
 from fleetprep.operators.split import train_test_split
@@ -46,7 +47,7 @@ def matrix_checks(prepared: DataFrame, params: Params, rules: Rules = RULES) ->
 
 def preprocess_job(spark: SparkSession, source: str, data: str, artifacts: str, rows: int | None = None) -> DataFrame:
     """CSV to a Parquet dataset by part, and the learned parameters as JSON; everything is read back and checked."""
-    table = scan_features(spark, source, rows)
+    table = stage(scan_features(spark, source, rows))
     Q.enforce(input_checks(table))
     result = prepare(table)
     Q.enforce(matrix_checks(result.rows, result.params))
