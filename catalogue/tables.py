@@ -265,12 +265,12 @@ def _(spark, sf):
     f"SELECT comparison_key, canonical, {n('observations')} AS observations, variants FROM canon", "canon"
 ))
 def _(spark, sf):
-    return makes.canonical_variants(normalized(spark, sf), K.MAKE)
+    return makes.canonical_variants(makes.spelling_counts(normalized(spark, sf), K.MAKE))
 
 
 def _spelled(spark, sf):
     rows = normalized(spark, sf)
-    return makes.with_canonical(rows, K.MAKE, settle(makes.canonical_variants(rows, K.MAKE)))
+    return makes.with_canonical(rows, K.MAKE, makes.canonical_spellings(rows, K.MAKE))
 
 
 _pair_names = "eu AS manufacturer_name_eu, oem AS manufacturer_name_oem, make AS manufacturer_make"

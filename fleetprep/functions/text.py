@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# (?U): blanks and digits of all scripts; \x1c-\x1f are blanks too for text trimming
-_EDGE_BLANKS = r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
-_BLANKS = r"(?U)[\s\x1c-\x1f]+"
+# fixed values: the characters that text trimming removes, blanks of all scripts and the four separator controls
+BLANKS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+# (?U): blanks and digits of all scripts
+_BLANK_RUN = r"(?U)[\s\x1c-\x1f]+"
 _SEPARATORS = r"[.\-_/]+"
 _DIGITS_ONLY = r"(?U)\A\d+\z"
 
@@ -18,7 +22,7 @@ def name(column: str) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_BLANKS, "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def strip_upper(c: Column) -> Column:
@@ -28,7 +32,7 @@ def strip_upper(c: Column) -> Column:
 def comparison_key(c: Column) -> Column:
     """Key shared by the spelling variants of one name: case, separators and blank runs do not count."""
     spaced = F.regexp_replace(strip_upper(c), _SEPARATORS, " ")
-    return strip(F.regexp_replace(spaced, _BLANKS, " "))
+    return strip(F.regexp_replace(spaced, _BLANK_RUN, " "))
 
 
 def is_digits(c: Column) -> Column:

@@ -27,27 +27,34 @@ def normalize_text(df: DataFrame, upper_codes: Sequence[str] = (), rules: Mappin
     return df.withColumns(out) if out else df
 
 
-def canonical_variants(df: DataFrame, make: str) -> DataFrame:
-    """(comparison_key, canonical, observations, variants): the most frequent spelling of each key, ties to the smallest.
-
-    Rows are counted per spelling first, so a brand held by many rows arrives as a few counts.
-    """
-    spelling = strip(name(make))
+def spelling_counts(df: DataFrame, make: str) -> DataFrame:
+    """(spelling, n, comparison_key) of the text makes; a brand held by many rows arrives as a few counts."""
     text = df.where(name(make).isNotNull() & ~is_digits(name(make)))
-    counts = text.groupBy(spelling.alias("spelling")).agg(F.count("*").alias("n"))
-    return counts.groupBy(comparison_key(F.col("spelling")).alias("comparison_key")).agg(
+    counts = text.groupBy(strip(name(make)).alias("spelling")).agg(F.count("*").alias("n"))
+    return counts.withColumn("comparison_key", comparison_key(F.col("spelling")))
+
+
+def canonical_variants(counts: DataFrame) -> DataFrame:
+    """(comparison_key, canonical, observations, variants): the most frequent spelling of each key, ties to the smallest."""
+    return counts.groupBy("comparison_key").agg(
         F.min_by("spelling", F.struct(-F.col("n"), F.col("spelling"))).alias("canonical"),
         F.sum("n").alias("observations"),
         F.count("*").alias("variants"),
     )
 
 
-def with_canonical(df: DataFrame, make: str, canon: Settled) -> DataFrame:
-    """Replace text makes by their canonical spelling; numeric and missing makes stay."""
-    text = name(make).isNotNull() & ~is_digits(name(make))
-    keyed = df.withColumn("_key", F.when(text, comparison_key(name(make))))
-    lookup = canon.rows.select(F.col("comparison_key").alias("_key"), F.col("canonical").alias("_canonical"))
-    joined = lookup_join(keyed, Settled(lookup, canon.small), ["_key"])
+def canonical_spellings(df: DataFrame, make: str) -> Settled:
+    """(spelling, canonical, comparison_key) for every spelling that occurs, computed once."""
+    counts = settle(spelling_counts(df, make)).rows
+    canon = canonical_variants(counts).select("comparison_key", "canonical")
+    return settle(counts.join(canon, "comparison_key").select("spelling", "canonical", "comparison_key"))
+
+
+def with_canonical(df: DataFrame, make: str, spellings: Settled) -> DataFrame:
+    """Replace text makes by their canonical spelling; numeric and missing makes stay. A lookup, no pattern per row."""
+    lookup = spellings.rows.select(F.col("spelling").alias("_spelling"), F.col("canonical").alias("_canonical"))
+    keyed = df.withColumn("_spelling", strip(name(make)))
+    joined = lookup_join(keyed, Settled(lookup, spellings.small), ["_spelling"])
     return joined.withColumn(make, F.coalesce("_canonical", name(make))).select(*[name(c) for c in df.columns])
 
 
@@ -80,10 +87,10 @@ def reliable_pairs(shares: DataFrame, make: str, first: str, second: str, min_sh
 
 def resolve_numeric_make(df: DataFrame, make: str, first: str, second: str, pairs: Settled) -> DataFrame:
     """Numeric makes become the reliable make of their maker pair, or missing."""
-    numeric = is_digits(name(make))
-    keyed = df.withColumn("_a", F.when(numeric, strip_upper(name(first)))).withColumn(
-        "_b", F.when(numeric, strip_upper(name(second)))
-    )
+    numeric = F.col("_numeric")
+    keyed = df.withColumn("_numeric", is_digits(name(make))).withColumns({
+        "_a": F.when(numeric, strip_upper(name(first))), "_b": F.when(numeric, strip_upper(name(second))),
+    })
     lookup = pairs.rows.select(name(first).alias("_a"), name(second).alias("_b"), name(make).alias("_make"))
     joined = lookup_join(keyed, Settled(lookup, pairs.small), ["_a", "_b"])
     return joined.withColumn(make, F.when(numeric, F.col("_make")).otherwise(name(make))).select(*[name(c) for c in df.columns])
@@ -94,8 +101,8 @@ def normalize_make(df: DataFrame, make: str, first: str, second: str, min_share:
     require_columns(df, [make, first, second])
     if not 0 < min_share <= 1:
         raise ValueError("the minimal share must lie in ]0, 1]")
-    canon = settle(canonical_variants(df, make))
-    spelled = with_canonical(df, make, canon)
+    spellings = canonical_spellings(df, make)
+    spelled = with_canonical(df, make, spellings)
     pairs = settle(reliable_pairs(pair_share(spelled, make, first, second), make, first, second, min_share))
     resolved = resolve_numeric_make(spelled, make, first, second, pairs)
 
@@ -108,9 +115,9 @@ def normalize_make(df: DataFrame, make: str, first: str, second: str, min_share:
             F.count("*").alias("numeric_before"), F.count(name(make)).alias("numeric_resolved"),
             zero.alias("typographic_keys"), zero.alias("reliable_manufacturer_pairs"),
         ),
-        canon.rows.agg(
+        spellings.rows.agg(
             zero.alias("numeric_before"), zero.alias("numeric_resolved"),
-            F.count("*").alias("typographic_keys"), zero.alias("reliable_manufacturer_pairs"),
+            F.count_distinct("comparison_key").alias("typographic_keys"), zero.alias("reliable_manufacturer_pairs"),
         ),
         pairs.rows.agg(
             zero.alias("numeric_before"), zero.alias("numeric_resolved"),
