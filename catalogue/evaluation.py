@@ -115,7 +115,7 @@ _picks = {
 
 
 @query("best_models", sql(" UNION ALL ".join(
-    f"SELECT * FROM (SELECT '{k}' AS criterion, model, {r(v.lstrip('-'))} AS value FROM regression_comparison ORDER BY {v}, model LIMIT 1) {k}_z" for k, v in _picks.items()
+    f"SELECT * FROM (SELECT '{k}' AS criterion, model, {r(v.lstrip('-'))} AS value FROM regression_comparison ORDER BY round({v}, 12), model LIMIT 1) {k}_z" for k, v in _picks.items()
 ), "regression_comparison"))
 def _(spark, sf):
     return ranking.best_models(_comparison(spark, sf))
@@ -131,7 +131,7 @@ _class_picks = {
     f"WITH {class_sql('model_predictions', 'model, part')}, c AS (SELECT r.model, avg(f1) FILTER (WHERE part = 'validation') AS f_v, "
     f"avg(f1) FILTER (WHERE part = 'train') AS f_t, max(t.s) AS s FROM report r JOIN {_class_seconds} t ON t.model = r.model GROUP BY r.model) "
     + " UNION ALL ".join(
-        f"SELECT * FROM (SELECT '{k}' AS criterion, model, {r(v)} AS value FROM c ORDER BY {o}, model LIMIT 1) {k}_z" for k, (o, v) in _class_picks.items()
+        f"SELECT * FROM (SELECT '{k}' AS criterion, model, {r(v)} AS value FROM c ORDER BY round({o}, 12), model LIMIT 1) {k}_z" for k, (o, v) in _class_picks.items()
     ), "model_predictions",
 ))
 def _(spark, sf):
@@ -142,7 +142,7 @@ def _(spark, sf):
 
 
 _ranks = (
-    "SELECT model, rank() OVER (ORDER BY rmse_validation) AS rank_performance, rank() OVER (ORDER BY abs(rmse_gap)) AS rank_generalization, "
+    "SELECT model, rank() OVER (ORDER BY round(rmse_validation, 12)) AS rank_performance, rank() OVER (ORDER BY round(abs(rmse_gap), 12)) AS rank_generalization, "
     "rank() OVER (ORDER BY training_seconds) AS rank_training_time FROM regression_comparison"
 )
 
@@ -158,7 +158,7 @@ def _(spark, sf):
 @query("select_config", sql(
     f"WITH {class_sql('model_predictions', 'model, part')}, m AS (SELECT model, avg(f1) AS f FROM report WHERE part = 'validation' GROUP BY model), "
     "b AS (SELECT max(f) FILTER (WHERE model = 'forest') AS c, max(f) FILTER (WHERE model = 'boosting') AS d FROM m) "
-    f"SELECT {r('c')} AS candidate_score, {r('d')} AS reference_score, {r('c - d')} AS gain, CASE WHEN c >= d THEN 'forest' ELSE 'boosting' END AS selected FROM b",
+    f"SELECT {r('c')} AS candidate_score, {r('d')} AS reference_score, {r('c - d')} AS gain, CASE WHEN round(c, 12) >= round(d, 12) THEN 'forest' ELSE 'boosting' END AS selected FROM b",
     "model_predictions",
 ))
 def _(spark, sf):
