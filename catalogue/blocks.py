@@ -58,10 +58,6 @@ def emission_class(x: str) -> str:
     return f"CASE WHEN {x} IS NULL THEN NULL {cases} ELSE '{K.CLASS_LABELS[-1]}' END"
 
 
-def text_of(column: str) -> str:
-    return f"CAST({q(column)} AS VARCHAR)"
-
-
 def per_column(columns, select: str) -> str:
     """UNION ALL of one SELECT per column; {c} is the quoted column, {v} its name as a literal."""
     return " UNION ALL ".join(select.replace("{c}", q(c)).replace("{v}", f"'{c}'") for c in columns)

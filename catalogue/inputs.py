@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetprep import contracts as K
+from fleetprep.cluster import stage
 from fleetprep.functions.text import name
 from fleetprep.functions.values import month_angle, right_closed_class
 from fleetprep.operators.makes import normalize_text
 from fleetprep.operators.schema import parse_date_column, select_contract
 from fleetprep.operators.split import train_test_split
+from fleetprep.plans.cleaning import clean
 
 TABLES = ["orders", "customer", "nation", "part"]
 
@@ -93,10 +95,15 @@ def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The registrations without the second, dirty date column, as the cleaning job reads them."""
+    """The registrations without the second, dirty date column."""
     return registrations(spark, sf_dir).drop("registration_date_dirty")
 
 
+def cleaned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned table, from a stored source as in the cleaning job."""
+    return clean(stage(source_rows(spark, sf_dir))).rows
+
+
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stripped text, upper-case codes, parsed dates."""
     rows = parse_date_column(source_rows(spark, sf_dir), K.DATE)
@@ -117,7 +124,8 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return train_test_split(feature_rows(spark, sf_dir), K.KEY, K.TEST_SHARE, K.SEED, K.PART)
+    """The feature rows, stored as the feature job stores them, with their part."""
+    return train_test_split(stage(feature_rows(spark, sf_dir)), K.KEY, K.TEST_SHARE, K.SEED, K.PART)
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogue import blocks as B
 from catalogue.blocks import HASH, q, quoted, sql
-from catalogue.inputs import feature_rows, labelled, normalized, source_rows, split_rows
+from catalogue.inputs import cleaned_rows, feature_rows, labelled, normalized, split_rows
 from catalogue.registry import n, query, r
 from fleetprep import contracts as K
 from fleetprep.cluster import stage
@@ -15,7 +15,7 @@ from fleetprep.operators import checks as Q
 from fleetprep.operators import prepare as P
 from fleetprep.operators import split as S
 from fleetprep.operators.discretize import emission_class
-from fleetprep.plans import cleaning, features
+from fleetprep.plans import features
 from fleetprep.plans.preprocessing import RULES, matrix_checks, prepare
 
 KEY = K.KEY
@@ -232,14 +232,14 @@ _prepared = (
 
 @query("preprocessed", sql(_prepared, "scaled"))
 def _(spark, sf):
-    table = features.build(stage(cleaning.clean(source_rows(spark, sf)).rows))
+    table = features.build(stage(cleaned_rows(spark, sf)))
     return prepare(stage(table)).rows
 
 
 @query("apply_params", sql(_prepared, "scaled"))
 def _(spark, sf):
     """Parameters that went through their saved form, applied to the rows as a projection."""
-    split = stage(split_rows(spark, sf))
+    split = split_rows(spark, sf)
     return P.transform(split, P.Params.from_json(P.fit(split, RULES).to_json()), RULES)
 
 
@@ -270,13 +270,13 @@ def _params_sql() -> str:
 
 @query("fitted_params", sql(_params_sql(), "split", "train_filled", "train_imputed"))
 def _(spark, sf):
-    return P.params_table(spark, P.fit(stage(split_rows(spark, sf)), RULES), RULES)
+    return P.params_table(spark, P.fit(split_rows(spark, sf), RULES), RULES)
 
 
 # ---- checks ----
 
 def _matrix(spark, sf):
-    split = stage(split_rows(spark, sf))
+    split = split_rows(spark, sf)
     params = P.fit(split, RULES)
     return stage(P.transform(split, params, RULES)), params
 

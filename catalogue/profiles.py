@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue import blocks as B
-from catalogue.blocks import per_column, q, quoted, sql, text_of
+from catalogue.blocks import per_column, q, sql
 from catalogue.inputs import feature_rows, labelled, normalized, registrations, table
 from catalogue.registry import n, pct, query, r
 from catalogue.tables import DTYPES
 from fleetprep import contracts as K
-from fleetprep.functions.text import name
 from fleetprep.operators import association, discretize, profile
 from fleetprep.operators.shape import text_columns
 from fleetprep.operators.split import train_test_split

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from catalogue import blocks as B
 from catalogue.blocks import q, sql
-from catalogue.inputs import feature_rows, labelled, normalized, registrations, source_rows, split_rows
-from catalogue.registry import n, pct, query, r
+from catalogue.inputs import cleaned_rows, feature_rows, labelled, normalized, registrations, split_rows
+from catalogue.registry import n, query, r
 from fleetprep import contracts as K
 from fleetprep.cluster import settle, shared_folder, stage
 from fleetprep.functions.text import comparison_key, name
@@ -325,7 +325,7 @@ def _(spark, sf):
     ) + " FROM cleaned", "cleaned",
 ))
 def _(spark, sf):
-    return cleaning.clean(source_rows(spark, sf)).rows
+    return cleaned_rows(spark, sf)
 
 
 @query("features", sql(
@@ -335,7 +335,7 @@ def _(spark, sf):
     "features", "cleaned",
 ))
 def _(spark, sf):
-    return features.build(stage(cleaning.clean(source_rows(spark, sf)).rows))
+    return features.build(stage(cleaned_rows(spark, sf)))
 
 
 @query("split_disjoint", sql(
@@ -367,7 +367,7 @@ def _cleaned_checks_sql() -> str:
 @query("quality_checks_cleaned", sql(_cleaned_checks_sql(), "norm", "cleaned"))
 def _(spark, sf):
     before = cleaning.checks(normalized(spark, sf)).select(F.lit("normalized").alias("stage"), "*")
-    after = cleaning.checks(stage(cleaning.clean(source_rows(spark, sf)).rows)).select(F.lit("cleaned").alias("stage"), "*")
+    after = cleaning.checks(stage(cleaned_rows(spark, sf))).select(F.lit("cleaned").alias("stage"), "*")
     return before.unionByName(after)
 
 

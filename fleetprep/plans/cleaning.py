@@ -11,7 +11,7 @@ from fleetprep.cluster import stage
 from fleetprep.functions.text import name
 from fleetprep.operators.checks import cleaned_checks, enforce
 from fleetprep.operators.makes import alias_counts, apply_aliases, normalize_make, normalize_text
-from fleetprep.operators.schema import drop_constant_columns, drop_empty_columns, normalize_column_names, parse_date_column
+from fleetprep.operators.schema import drop_constant_columns, drop_empty_columns, nan_free, normalize_column_names, parse_date_column
 from fleetprep.sources.tables import export_checks, scan_csv, scan_csv_dates, write_csv
 
 
@@ -24,12 +24,12 @@ class Cleaned:
 
 
 def clean(df: DataFrame, drop_constant: bool = True) -> Cleaned:
-    """Empty columns, names, dates, text and codes, makes, aliases, constant columns, rows without target - in this order.
+    """Not-a-number, empty columns, names, dates, text and codes, makes, aliases, constant columns, rows without target.
 
     Three small aggregations decide the schema and the lookups (empty columns, makes, constant columns); what is
     returned is one lazy projection and two lookup joins over the source.
     """
-    named = normalize_column_names(drop_empty_columns(df), K.SOURCE_NAMES)
+    named = normalize_column_names(drop_empty_columns(nan_free(df)), K.SOURCE_NAMES)
     text = normalize_text(parse_date_column(named, K.DATE), K.UPPER_CODES)
     made, report = normalize_make(text, K.MAKE, K.MAKER_EU, K.MAKER_OEM, K.MIN_PAIR_SHARE)
     aliases = alias_counts(made, K.MAKE, K.MAKE_ALIASES)

@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetprep import contracts as K
+from fleetprep.cluster import settle, stage
 from fleetprep.functions.text import name
 from fleetprep.operators import models as M
 from fleetprep.operators.checks import enforce, training_checks
 from fleetprep.operators.discretize import emission_class
-from fleetprep.operators.metrics import with_gaps
+from fleetprep.operators.metrics import class_report, classification_metrics, confusion_counts, confusion_matrix, with_gaps
 from fleetprep.operators.search import best_params, macro_f1_score, mae_score, random_search
 from fleetprep.operators.split import development_sample, k_folds, stratified_folds, stratified_sample, stratified_split
 from fleetprep.sources.artifacts import load_json, model_checks, save_json, save_model
@@ -80,21 +81,57 @@ def search(
     return random_search(folded, "fold", folds, build, candidates, macro_f1_score if classes else mae_score)
 
 
-def final_regression(prepared: DataFrame, params: Mapping, rows: int = K.DEV_ROWS) -> DataFrame:
+def final_regression(prepared: DataFrame, estimator: Estimator, rows: int = K.DEV_ROWS) -> DataFrame:
     """Refit on all development rows, then one use of the test rows: (part, rows, mae, rmse, r2)."""
     dev = development(prepared, rows).drop(K.PART)
-    fit_rows = vectors(dev, classes=False, keep=[K.KEY])
-    model, _ = M.fit_timed(M.forest_regressor(params, K.SEED), fit_rows)
+    model, _ = M.fit_timed(estimator, vectors(dev, classes=False, keep=[K.KEY]))
     test = vectors(prepared.where(name(K.PART) == "test"), classes=False)
     return M.regression_measures(model, test, K.PART)
 
 
-def final_classification(prepared: DataFrame, params: Mapping, rows: int = K.DEV_ROWS) -> DataFrame:
-    """The model of the development train rows, without a refit, on the test rows."""
+@dataclass
+class RegressionStudy:
+    searches: dict[str, list[dict]]
+    comparison: DataFrame
+    selected: str
+    test: DataFrame
+
+
+def regression_study(
+    prepared: DataFrame,
+    spaces: Mapping[str, tuple[Callable[[dict, int], Estimator], Sequence[dict]]],
+    folds: int = K.REGRESSION_FOLDS,
+    rows: int = K.DEV_ROWS,
+) -> RegressionStudy:
+    """Search every model's candidates, compare the best ones on the validation rows, refit the one with the lowest RMSE
+    on all development rows and score it once on the test rows. spaces maps a name to (build(params, seed), candidates)."""
+    data = stage(vectors(development(prepared, rows), classes=False))
+    searches = {
+        label: search(data, lambda p, build=build: build(p, K.SEED), candidates, False, folds) for label, (build, candidates) in spaces.items()
+    }
+    tuned = {label: spaces[label][0](best_params(found), K.SEED) for label, found in searches.items()}
+    comparison = compare(data, tuned, classes=False)
+    selected = comparison.first()["model"]
+    return RegressionStudy(searches, comparison, selected, final_regression(prepared, tuned[selected], rows))
+
+
+@dataclass
+class ClassTest:
+    measures: DataFrame
+    per_class: DataFrame
+    confusion: DataFrame
+
+
+def final_classification(prepared: DataFrame, estimator: Estimator, rows: int = K.DEV_ROWS) -> ClassTest:
+    """The model of the development train rows, without a refit, on the test rows: measures, per class, confusion."""
     dev = vectors(development(prepared, rows, classes=True), classes=True)
-    model, _ = M.fit_timed(M.forest_classifier(params, K.SEED), dev.where(name(K.PART) == "train"))
+    model, _ = M.fit_timed(estimator, dev.where(name(K.PART) == "train"))
     test = vectors(prepared.where(name(K.PART) == "test"), classes=True)
-    return M.classification_measures(model, test, K.PART)
+    predicted = M.class_label(model.transform(test), M.PREDICTION, K.CLASS_LABELS, "predicted_class")
+    # at most one row per pair of classes, so the three reports share one pass over the test rows
+    counts = settle(confusion_counts(predicted, K.CLASS, "predicted_class")).rows
+    per_class = class_report(counts)
+    return ClassTest(classification_metrics(per_class), per_class, confusion_matrix(counts, K.CLASS_LABELS))
 
 
 # ---- the training jobs ----
@@ -135,7 +172,3 @@ def train_job(
     again = measure(loaded, test, K.PART).drop(K.PART).first().asDict()
     enforce(model_checks(spark, model, loaded, features, load_json(spark, metadata_path), (scores, again)))
     return Trained(model, scores, seconds)
-
-
-def selected(results: Sequence[dict]) -> dict:
-    return best_params(results)

@@ -7,7 +7,6 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetprep.operators.checks import enforce
 from fleetprep.operators.prepare import Params, Rules
 
 
@@ -71,7 +70,3 @@ def model_checks(spark: SparkSession, fitted, loaded, features: list[str], metad
         "same_metrics": before.keys() == after.keys() and all(same(before[k], after[k]) for k in before),
     }
     return spark.createDataFrame(list(tests.items()), "check string, ok boolean")
-
-
-def require_ok(checks: DataFrame) -> None:
-    enforce(checks)

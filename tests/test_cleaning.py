@@ -19,6 +19,11 @@ def test_empty_and_constant_columns(spark):
     assert S.drop_constant_columns(df, drop=False)[0].columns == df.columns
 
 
+def test_not_a_number_is_missing(spark):
+    df = spark.createDataFrame([(float("nan"), "a"), (1.0, "b")], "x double, c string")
+    assert [r.x for r in S.nan_free(df).collect()] == [None, 1.0]
+
+
 def test_late_values_are_found_behind_the_probe(spark):
     df = spark.range(5000).select("id", F.when(F.col("id") == 4999, F.lit("x")).alias("late"), F.lit(1).alias("one"))
     assert S.empty_columns(df) == []

@@ -142,6 +142,25 @@ def test_model_quality_on_the_fixture(spark, prepared):
     assert scores["test"].r2 > 0.95 and scores["train"].r2 >= scores["test"].r2
 
 
+def test_regression_study(spark, prepared):
+    rows, _, _ = prepared
+    forest = [{"n_estimators": 3, "max_depth": d, "max_features": 1.0} for d in (2, 6)]
+    boosting = [{"learning_rate": 0.1, "max_iter": 2, "max_leaf_nodes": 15, "min_samples_leaf": 20}]
+    spaces = {"forest": (M.forest_regressor, forest), "boosting": (M.boosting_regressor, boosting)}
+    study = training.regression_study(rows, spaces, folds=2, rows=600)
+    assert study.selected == "forest" and study.test.first().part == "test"
+    assert S.best_params(study.searches["forest"])["max_depth"] == 6
+    assert study.comparison.columns[0] == "model" and study.comparison.count() == 2
+
+
+def test_class_test_reports(spark, prepared):
+    rows, _, _ = prepared
+    out = training.final_classification(rows, M.forest_classifier({"n_estimators": 5, "max_depth": 8, "max_features": 1.0}, 42))
+    n = rows.where("part = 'test'").count()
+    assert out.measures.first()["rows"] == n == sum(r.support for r in out.per_class.collect())
+    assert sum(r[c] for r in out.confusion.collect() for c in K.CLASS_LABELS) == n
+
+
 def test_parameter_spaces():
     assert S.combinations(K.REGRESSION_FOREST_SPACE) == 324
     assert S.combinations(K.REGRESSION_BOOSTING_SPACE) == 324

@@ -133,6 +133,15 @@ def test_uniform_edges_hold_the_smallest_value(spark):
     assert flat[0] < 2.0 < flat[-1]
 
 
+def test_bins_per_row_and_classes_without_rows(spark):
+    df = spark.createDataFrame([(v,) for v in (1.0, 3.0, 3.5)], "x double")
+    assert [r.bin for r in D.with_bin(df, "x", [1.0, 3.0, 4.0]).collect()] == [1, 1, 2]
+    found = D.class_distribution(df, "x", [3.0], ["A", "B"], {"A": "a", "B": "b"}, {"A": "", "B": ""})
+    D.require_all_classes(found)
+    with pytest.raises(ValueError, match="B"):
+        D.require_all_classes(D.class_distribution(df, "x", [3.0, 3.2], ["A", "B", "C"], dict.fromkeys("ABC", ""), dict.fromkeys("ABC", "")))
+
+
 def test_quantile_edges_are_merged(spark):
     df = spark.createDataFrame([(v,) for v in [0.0] * 6 + [1.0, 2.0, 3.0]], "x double")
     assert D.quantile_edges(df, "x", [3])[3] == pytest.approx([0.0, 1 / 3, 3.0])

@@ -6,7 +6,7 @@ from oracle import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-MODELS = ["ridge_regression", "rf_classification", "tuning_report"]
+MODELS = ["ridge_regression", "tuning_report", "final_test_per_class"]
 
 
 @pytest.fixture(scope="module")
@@ -32,5 +32,5 @@ def test_only_fitted_models_lack_sql():
     without = set(queries()) - set(oracle_sql())
     assert without == {
         "ridge_regression", "rf_regression", "gbt_regression", "logistic_classification", "rf_classification", "gbt_classification",
-        "eval_regression", "eval_classification", "random_search", "tuning_report", "final_test_regression", "final_test_classification",
+        "eval_regression", "eval_classification", "random_search", "tuning_report", "final_test_regression", "final_test_classification", "final_test_per_class",
     }
