@@ -151,8 +151,3 @@ def _read_off(base: DataFrame, at: Mapping[tuple[object, int], _Range]) -> dict[
             raise ValueError("too many different keys share one order number; use a key-unique order")
         out[(s, p)] = Mark(row.x, row.lo)
     return out
-
-
-def at_or_before(order: Column, tie: Column, mark: Mark) -> Column:
-    """True for the rows up to and including the mark."""
-    return (order < F.lit(mark.order)) | ((order == F.lit(mark.order)) & (tie <= F.lit(mark.tie)))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fleetprep.functions.hashing import HASH_MAX, HASH_MIN, hash_number, hash_text
 from fleetprep.functions.text import name
-from fleetprep.operators.ranks import Mark, at_or_before, bounds, marks_at
+from fleetprep.operators.ranks import Mark, bounds, marks_at
 
 
 def exact_rows(n: int, share: str | float) -> int:
@@ -50,13 +50,16 @@ class HashOrder:
         label = None if self.stratum is None else name(self.stratum)
         return marks_at(df, self.order, self.tie, HASH_MIN, HASH_MAX, wanted, label)
 
-    def up_to(self, take: Mapping[object, int], marks: Mapping[tuple[object, int], Mark]) -> Column:
+    def up_to(self, mark: Mark) -> Column:
+        """True for the rows up to and including the mark: the hash text sorts as its leading number does."""
+        return self.tie <= F.lit(mark.tie)
+
+    def first(self, take: Mapping[object, int], marks: Mapping[tuple[object, int], Mark]) -> Column:
         """True for the first take[s] rows of each stratum. No mark is needed for none or all of them."""
         out = F.when(F.lit(False), F.lit(False))
         for s, n in take.items():
             mine = F.lit(True) if self.stratum is None else name(self.stratum) == F.lit(s)
-            mark = marks.get((s, n))
-            out = out.when(mine, F.lit(n > 0) if mark is None else at_or_before(self.order, self.tie, mark))
+            out = out.when(mine, self.up_to(marks[(s, n)]) if (s, n) in marks else F.lit(n > 0))
         return out.otherwise(F.lit(False))
 
 
@@ -65,7 +68,7 @@ def _first(df: DataFrame, key: str, seed: int | str, take: Callable[[Mapping], M
     order = HashOrder(key, seed, stratum)
     sizes, marks = order.marks(df, lambda n: {s: [m] for s, m in take(n).items() if 0 < m < n[s]})
     taken = take(sizes)
-    return sizes, taken, order.up_to(taken, marks)
+    return sizes, taken, order.first(taken, marks)
 
 
 def train_test_split(df: DataFrame, key: str, share: str | float, seed: int | str, part: str = "part") -> DataFrame:
@@ -104,11 +107,11 @@ def stratified_sample(df: DataFrame, key: str, stratum: str, rows: int, seed: in
     return df if sizes == taken else df.where(chosen)
 
 
-def _fold_number(order: Column, tie: Column, marks: list[Mark | None]) -> Column:
+def _fold_number(up_to: Callable[[Mark], Column], marks: list[Mark | None]) -> Column:
     """Marks end the folds one after another; the last fold is open."""
     out = F.when(F.lit(False), F.lit(0))
     for i, mark in enumerate(marks):
-        out = out.when(at_or_before(order, tie, mark), F.lit(i)) if mark is not None else out
+        out = out.when(up_to(mark), F.lit(i)) if mark is not None else out
     return out.otherwise(F.lit(len(marks)))
 
 
@@ -125,7 +128,7 @@ def k_folds(df: DataFrame, key: str, k: int, fold: str = "fold") -> DataFrame:
     sizes, marks = marks_at(
         df, order, order, *limits, lambda n: {s: sorted({e for e in _ends(m, k) if e}) for s, m in n.items()}
     )
-    return df.withColumn(fold, _fold_number(order, order, [marks.get((0, e)) for e in _ends(sizes[0], k)]))
+    return df.withColumn(fold, _fold_number(lambda m: order <= F.lit(m.order), [marks.get((0, e)) for e in _ends(sizes[0], k)]))
 
 
 def stratified_folds(df: DataFrame, key: str, stratum: str, k: int, seed: int | str, fold: str = "fold") -> DataFrame:
@@ -134,7 +137,7 @@ def stratified_folds(df: DataFrame, key: str, stratum: str, k: int, seed: int |
     sizes, marks = h.marks(df, lambda n: {s: _ends(m, k) for s, m in n.items()})
     out = reduce(
         lambda col, s: col.when(
-            name(stratum) == F.lit(s), _fold_number(h.order, h.tie, [marks.get((s, e)) for e in _ends(sizes[s], k)])
+            name(stratum) == F.lit(s), _fold_number(h.up_to, [marks.get((s, e)) for e in _ends(sizes[s], k)])
         ),
         sizes, F.when(F.lit(False), F.lit(0)),
     )
