@@ -4,11 +4,22 @@ import pytest
 from conftest import SMALL
 from oracle import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from catalogue import all_queries
 
 MODELS = ["ridge_regression", "tuning_report", "final_test_per_class"]
 
 
+
+
+def queries():
+    return {label: q.run for label, q in all_queries().items()}
+
+
+def oracle_sql():
+    return {label: q.oracle for label, q in all_queries().items() if q.oracle}
+
+
 @pytest.fixture(scope="module")
 def duck():
     return connect(SMALL)
