@@ -6,7 +6,7 @@ import importlib
 
 from fleetprep.llm.tables import RUN, SQL
 
-MODULES = ["quality_rules", "mixing", "licenses"]
+MODULES = ["quality_rules", "mixing", "licenses", "line_dedup", "sharding"]
 
 
 def registered():

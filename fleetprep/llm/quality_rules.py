@@ -86,18 +86,17 @@ def host_verdicts(hosts: DataFrame, limit: float) -> DataFrame:
     Moments: with mean m and variance v of the hosts' rates, a + b = m (1 - m) / v - 1 pseudo-documents, never below 0.
     """
     rate = F.col("failed") / F.col("n")
-    prior = hosts.agg(F.avg(rate).alias("m"), F.var_samp(rate).alias("v"), F.count("*").alias("k"))
-    strength = F.when((F.col("k") > 1) & (F.col("v") > 0), F.greatest(F.col("m") * (1 - F.col("m")) / F.col("v") - 1, F.lit(0.0))).otherwise(F.lit(0.0))
-    prior = prior.select("m", strength.alias("strength"))  # one row
-    shrunk = (F.col("failed") + F.col("m") * F.col("strength")) / (F.col("n") + F.col("strength"))
-    return hosts.join(F.broadcast(prior)).select("source", shrunk.alias("shrunk"), (shrunk <= limit).alias("host_ok"))
+    m, v, k = hosts.agg(F.avg(rate), F.var_samp(rate), F.count("*")).first()
+    strength = max(m * (1 - m) / v - 1, 0.0) if k > 1 and v else 0.0
+    shrunk = (F.col("failed") + (m or 0.0) * strength) / (F.col("n") + strength)
+    return hosts.select("source", shrunk.alias("shrunk"), (shrunk <= limit).alias("host_ok"))
 
 
 def judge(docs: DataFrame, limit: float = 0.5, min_words: int = 10, max_repeat_pct: int = 20) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, source, host_rate."""
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
     rows = stage(document_counts(only(docs, "doc_id", "source", "text")).withColumn("base_failed", failed))
-    hosts = rows.groupBy("source").agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
+    hosts = stage(rows.groupBy("source").agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed")))
     verdict = host_verdicts(hosts, limit).withColumnRenamed("source", "host")
     return rows.join(verdict, rows["source"].eqNullSafe(verdict["host"]), "left").select(
         "doc_id", *COUNTS, "base_failed", (~F.col("base_failed") & F.col("host_ok")).alias("kept"), "source", F.round("shrunk", 6).alias("host_rate"),
