@@ -3,7 +3,7 @@
 Every document of a source is expected `target / source_size` times. These expectations are summed up in the order (size,
 doc_id) within the source, one random offset is added, and a document is taken once for each whole number that the sum passes
 at it. Ordering by size makes the taken words follow the target closely. As the expectation is the same for all documents of a
-source, the prefix sum is rate x rank; the rank is put together from three counts (by size, by block of 65 536 ids, within the
+source, the prefix sum is rate x rank; the rank is put together from three counts (by size, by block of 1024 ids, within the
 block), so no task orders a whole source and equal sizes do not pile up.
 
 Null or empty text: size 0, taken 0. Null source: a source of its own, last in order. Null doc_id: ranked as -1. Repeated rows:
@@ -21,7 +21,7 @@ from fleetprep.llm.tables import WORD, only, query, table
 #: fixed values: weights by rank of the source
 WEIGHTS = (5, 2, 1)
 SEED = "mix-1"
-BLOCK_BITS = 16
+BLOCK_BITS = 10
 
 
 def sizes(docs: DataFrame) -> DataFrame:
