@@ -6,7 +6,7 @@ import importlib
 
 from fleetprep.llm.tables import RUN, SQL
 
-MODULES = ["quality_rules", "mixing", "licenses", "line_dedup", "sharding", "quality_classifier", "decontamination", "lm_scoring", "token_files"]
+MODULES = ["quality_rules", "mixing", "licenses", "line_dedup", "sharding", "quality_classifier", "decontamination", "lm_scoring", "token_files", "ngram_join"]
 
 
 def registered():

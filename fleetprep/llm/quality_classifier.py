@@ -1,9 +1,9 @@
 """Quality classifier: histogram gradient-boosted trees over document statistics.
 
-One pass over all whole texts gives the statistics (STATS) of every document, which are staged. Trees are grown on the statistics of
-labelled rows outside the held-out fold; at most about `max_train` of them, drawn by a hash of the doc_id, go to the driver (a
-documented bound: 20 000 rows of 16 numbers). A forest is then flattened to five arrays (feature, threshold, first child, value, roots)
-of a few thousand entries, and every document is scored by walking all trees at once in numpy.
+Trees are grown on the statistics (STATS) of labelled documents outside the held-out fold; about `max_train` of them, drawn by a hash
+of the doc_id, go to the driver (a documented bound: 20 000 rows of 16 numbers). The forest is flattened to five arrays (feature,
+threshold, first child, value, roots) of a few thousand entries. One pass over all whole texts then takes the statistics of every
+document and scores it by walking all trees at once in numpy.
 
 Labels, language, source and doc_id are no inputs of a score. Null and empty texts are scored as texts without words. Null doc_id:
 never labelled, not held out. Label rows without a quality are ignored; of several labels of a document the largest counts. If no or
@@ -20,7 +20,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetprep.cluster import stage
 from fleetprep.llm import scan
 from fleetprep.llm.quality_rules import SYMBOLS, duplicate_lines, repeated_words
 from fleetprep.llm.tables import only, query, table
@@ -60,17 +59,16 @@ def statistics(column: pa.Array) -> np.ndarray:
 
 
 def document_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and STATS of every document."""
+    """doc_id, y and STATS of every document."""
 
     def run(batches):
         for batch in batches:
             for lo, hi, column in scan.slices(batch.column("text")):
                 stats = statistics(column)
-                ids = batch.column("doc_id").slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([ids, *[pa.array(s) for s in stats.T.astype(np.float64)]], names=["doc_id", *STATS])
+                own = [batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "y")]
+                yield pa.RecordBatch.from_arrays([*own, *[pa.array(s) for s in stats.T.astype(np.float64)]], names=["doc_id", "y", *STATS])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, " + ", ".join(f"{s} double" for s in STATS))
+    return docs.select("doc_id", "y", "text").mapInArrow(run, "doc_id long, y double, " + ", ".join(f"{s} double" for s in STATS))
 
 
 @dataclass
@@ -153,30 +151,47 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(stats: DataFrame, labels: DataFrame, max_train: int = 20_000) -> Forest:
-    labels = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("double").alias("y"))
-    rows = stats.where(~held_out(F.col("doc_id"))).join(labels, "doc_id").select("doc_id", "y", *STATS)
-    total = rows.count()
-    share = min(1.0, max_train / max(total, 1))
-    drawn = rows.where(F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit("train")), 32) < int(share * 2**32))
-    data = drawn.toPandas().sort_values(["doc_id", *STATS])
+def fit(docs: DataFrame, labels: DataFrame, max_train: int = 20_000) -> Forest:
+    """A forest from about max_train labelled documents (all, if there are fewer) outside the held-out fold."""
+    labels = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("quality").cast("double"))
+    labels = labels.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").alias("y"))
+    share = min(1.0, max_train / max(labels.count(), 1))
+    drawn = labels.where(F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit("train")), 32) < int(share * 2**32))
+    rows = docs.join(F.broadcast(drawn), "doc_id")  # bounded by max_train
+    data = document_statistics(rows).toPandas().sort_values(["doc_id", "y", *STATS])
     return grow(data[STATS].to_numpy(np.float64), (data["y"].to_numpy() > 0.5).astype(np.float64))
 
 
+def plain(docs: DataFrame) -> DataFrame:
+    return only(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def score(docs: DataFrame, labels: DataFrame, at_least: float = 0.3, max_train: int = 20_000) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
-    stats = stage(document_statistics(only(docs, "doc_id", "text")))
-    forest = fit(stats, only(labels, "doc_id", "quality"), max_train)
+    docs = plain(docs)
+    forest = fit(docs, only(labels, "doc_id", "quality"), max_train)
 
     def run(batches):
         for batch in batches:
-            x = np.column_stack([batch.column(s).to_numpy() for s in STATS])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(forest.scores(x))], names=["doc_id", "score"])
+            for lo, hi, column in scan.slices(batch.column("text")):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(forest.scores(statistics(column)))], names=["doc_id", "score"])
 
-    scored = stats.mapInArrow(run, "doc_id long, score double")
+    scored = docs.mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= at_least).cast("int").alias("predicted"))
 
 
+def accepted(docs: DataFrame, labels: DataFrame, at_least: float = 0.3, max_train: int = 20_000) -> DataFrame:
+    """The documents that score at_least or more, with all their columns; nothing is shuffled."""
+    forest = fit(plain(docs), only(labels, "doc_id", "quality"), max_train)
+
+    def run(batches):
+        for batch in batches:
+            keep = [forest.scores(statistics(column)) >= at_least for _, _, column in scan.slices(batch.column("text"))]
+            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 @query("op4_quality_classifier")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
