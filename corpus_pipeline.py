@@ -39,9 +39,9 @@ def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias("taken_id")).agg(F.max("copies").cast("int").alias("copies"))
-    both = docs.join(taken.where("copies > 0"), docs["doc_id"].eqNullSafe(F.col("taken_id")))
-    return both.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(docs.columns)
+    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("copies").cast("int").alias("_mix_copies"))
+    both = docs.join(taken.where("_mix_copies > 0"), docs["doc_id"].eqNullSafe(F.col("_mix_id")))
+    return both.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), "_mix_copies"))).select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,7 +81,7 @@ def cleaned(docs: DataFrame, removed: DataFrame) -> DataFrame:
         ),
         lambda s: F.concat(s["out"], F.substring(F.col("text"), (s["at"] + 1).cast("int"), F.length("text"))),
     )
-    both = docs.join(spans, "doc_id", "left")
+    both = docs.drop("spans").join(spans, "doc_id", "left")
     return both.withColumn("text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(text))
 
 
