@@ -14,7 +14,8 @@ FRONT = HEAD * WIDTH
 TOKENS, CLASSES = FRONT + TAIL, HEAD + TAIL
 HIDDEN = 16
 STEPS = 16  # of truncated backpropagation
-LANES = 256
+LIMIT = 60.0  # of logits, so that a softmax needs no maximum
+LANES = 512
 SHAPES = {"inputs": (TOKENS, 3 * HIDDEN), "recur": (HIDDEN, 3 * HIDDEN), "to_class": (HIDDEN, CLASSES), "class_bias": (CLASSES,), "to_word": (HEAD, HIDDEN, WIDTH), "word_bias": (HEAD, WIDTH)}
 SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
 
@@ -68,10 +69,6 @@ def laid_out(texts: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray,
     return target, before, text
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 def forward(p: dict, h: np.ndarray, before: np.ndarray, end: int) -> tuple[np.ndarray, tuple]:
     """Hidden states after each step of a window, and what going back needs."""
     x = p["inputs"][before]
@@ -96,22 +93,25 @@ def forward(p: dict, h: np.ndarray, before: np.ndarray, end: int) -> tuple[np.nd
     return out, (zr_all, c_all, old, keep)
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
+def class_of(token: np.ndarray) -> np.ndarray:
+    return np.where(token < FRONT, token // WIDTH, token - FRONT + HEAD).astype(np.int16)
 
 
-def class_of(token: np.ndarray) -> np.ndarray:
-    return np.where(token < FRONT, token // WIDTH, token - FRONT + HEAD)
+def softmax_at(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability of one entry of each row, and all probabilities."""
+    np.clip(x, -LIMIT, LIMIT, out=x)
+    got = x[np.arange(len(x)), at]
+    e = np.exp(x, out=x)
+    total = e @ np.ones(e.shape[1], e.dtype)
+    return got - np.log(total), e / total[:, None]
 
 
 def outputs(p: dict, hidden: np.ndarray, target: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log-probability of each target (rows of hidden); with grads: adds to them, and returns the gradient of hidden."""
     cls, rows = class_of(target), np.arange(len(target))
-    logp = log_softmax(hidden @ p["to_class"] + p["class_bias"])
-    got, back = logp[rows, cls], None
+    got, d = softmax_at(hidden @ p["to_class"] + p["class_bias"], cls)
+    back = None
     if grads is not None:
-        d = np.exp(logp)
         d[rows, cls] -= 1
         grads["to_class"] += hidden.T @ d
         grads["class_bias"] += d.sum(0)
@@ -122,12 +122,10 @@ def outputs(p: dict, hidden: np.ndarray, target: np.ndarray, grads: dict | None
         i = order[bounds[k] : bounds[k + 1]]
         if not len(i):
             continue
-        own = hidden[i]
-        logw = log_softmax(own @ p["to_word"][k] + p["word_bias"][k])
-        word = target[i] % WIDTH
-        got[i] += logw[np.arange(len(i)), word]
+        own, word = hidden[i], target[i] % WIDTH
+        more, d = softmax_at(own @ p["to_word"][k] + p["word_bias"][k], word)
+        got[i] += more
         if grads is not None:
-            d = np.exp(logw)
             d[np.arange(len(i)), word] -= 1
             grads["to_word"][k] += own.T @ d
             grads["word_bias"][k] += d.sum(0)
@@ -152,7 +150,7 @@ def backward(p: dict, saved: tuple, before: np.ndarray, d_out: np.ndarray, grads
         grads["recur"][:, 2 * HIDDEN :] += (r * h).T @ d_c
         grads["recur"][:, : 2 * HIDDEN] += h.T @ d_zr
         d_h = (d_h * (1 - z) + d_rh * r + d_zr @ gates.T) * keep[t]
-    flat, tokens = d_x.reshape(-1, 3 * HIDDEN), before.ravel()
+    flat, tokens = d_x.reshape(-1, 3 * HIDDEN), before.ravel().astype(np.int16)
     order = np.argsort(tokens, kind="stable")
     first = np.flatnonzero(np.diff(tokens[order], prepend=-1))
     grads["inputs"][tokens[order][first]] += np.add.reduceat(flat[order], first, axis=0)
