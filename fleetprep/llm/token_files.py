@@ -22,7 +22,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
-from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +52,15 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
+ALNUM, STOPS = np.zeros(256, bool), np.zeros(256, bool)
+ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+STOPS[list(b".,;:!?")] = True
+TOGETHER = 500  # words that are encoded in one call
+
+
 class Encoder:
-    """Ids of words, each encoded once."""
+    """Ids of words, each encoded once. The tokenizer lower-cases and parts letters or digits from a mark behind them, so words are kept
+    in lower case (unless the text may hold a special token) and without one last mark, which is a word of its own here."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,46 +73,84 @@ class Encoder:
     def forget(self) -> None:
         self.keys, self.at, self.sizes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
 
-    def learn(self, x: scan.Texts, h: np.ndarray) -> None:
+    def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after the other, and the number of ids of each. Words of letters alone go through the library many at a
+        time: they are one piece each, which the library numbers; if the numbers do not fit, they go one by one."""
+        letters = [k for k, w in enumerate(words) if w.isalpha()]
+        single = [k for k, w in enumerate(words) if not w.isalpha()]
+        owner, ids = [], []
+        groups = [letters[k : k + TOGETHER] for k in range(0, len(letters), TOGETHER)]
+        for group, e in zip(groups, self.tokenizer.encode_batch([" ".join([words[k] for k in g]) for g in groups], add_special_tokens=False)):
+            number = np.array(e.word_ids, np.int64)
+            if len(number) and (np.diff(number) <= 1).all() and (np.diff(number) >= 0).all() and number[0] == 0 and number[-1] == len(group) - 1:
+                owner.append(np.array(group)[number]), ids.append(np.array(e.ids, np.uint16))
+            else:
+                single += group
+        alone = [e.ids for e in self.tokenizer.encode_batch_fast([words[k] for k in single], add_special_tokens=False)]
+        times = np.fromiter(map(len, alone), np.int64, len(alone))
+        owner.append(np.repeat(np.array(single, np.int64), times)), ids.append(np.fromiter(chain.from_iterable(alone), np.uint16, int(times.sum())))
+        owner, ids = (np.concatenate([np.zeros(0, t), *x]) for x, t in ((owner, np.int64), (ids, np.uint16)))
+        return ids[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
+
+    def places(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Where each word is kept; new ones are encoded."""
+        h = scan.span_hashes(buf, start, end)
         if len(self.keys) > KEEP:
             self.forget()
         order = np.argsort(h)
-        first = order[np.flatnonzero(np.concatenate(([True], h[order[1:]] != h[order[:-1]])))] if len(h) else order
+        new_run = np.concatenate(([True], h[order[1:]] != h[order[:-1]])) if len(h) else np.zeros(0, bool)
+        first = order[new_run]
         place = np.minimum(np.searchsorted(self.keys, h[first]), max(len(self.keys) - 1, 0))
         new = first if not len(self.keys) else first[self.keys[place] != h[first]]
-        if not len(new):
-            return
-        data = x.buf.tobytes()
-        words = [data[a:b].decode("utf-8", "replace") for a, b in zip(x.start[new].tolist(), x.end[new].tolist())]
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        at = len(self.ids) + np.cumsum(sizes) - sizes
-        self.ids = np.concatenate((self.ids, np.fromiter((i for w in ids for i in w), np.uint16, int(sizes.sum()))))
-        keys = np.concatenate((self.keys, h[new]))
-        order = np.argsort(keys)
-        self.keys, self.at, self.sizes = keys[order], np.concatenate((self.at, at))[order], np.concatenate((self.sizes, sizes))[order]
+        if len(new):
+            data = buf.tobytes()
+            ids, sizes = self.ids_of([data[a:b].decode("utf-8", "replace") for a, b in zip(start[new].tolist(), end[new].tolist())])
+            at = len(self.ids) + np.cumsum(sizes) - sizes
+            self.ids = np.concatenate((self.ids, ids))
+            keys = np.concatenate((self.keys, h[new]))
+            by_key = np.argsort(keys)
+            self.keys, self.at, self.sizes = keys[by_key], np.concatenate((self.at, at))[by_key], np.concatenate((self.sizes, sizes))[by_key]
+            place = np.searchsorted(self.keys, h[first])
+        out = np.empty(len(h), np.int64)
+        out[order] = place[np.cumsum(new_run) - 1]
+        return out
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by the end id, and the number of ids of each."""
         x = scan.read(column)
-        h = x.word_hashes()
-        self.learn(x, h)
-        word = np.searchsorted(self.keys, h)
-        at, sizes = np.insert(self.at[word], x.first[1:], len(self.ids)), np.insert(self.sizes[word], x.first[1:], 1)
+        if x.buf.tobytes().find(b"<|") < 0:
+            x = scan.read(column, True)
+        mark = (x.end - x.start > 1) & STOPS[x.buf[x.end - 1]] & ALNUM[x.buf[np.maximum(x.end - 2, 0)]]
+        cut = np.flatnonzero(mark) + 1
+        start, end = np.insert(x.start, cut, x.end[mark] - 1), np.insert(x.end, cut, x.end[mark])
+        end[np.flatnonzero(mark) + np.arange(len(cut))] -= 1
+        first = x.first + np.concatenate(([0], np.cumsum(mark)))[x.first]
+        word = self.places(x.buf, start, end)
+        at, sizes = np.insert(self.at[word], first[1:], len(self.ids)), np.insert(self.sizes[word], first[1:], 1)
         ids = np.append(self.ids, np.uint16(END_ID))[ragged(at, sizes)]
-        return ids, scan.sums(sizes, x.first + np.arange(len(x.first)))
+        return ids, scan.sums(sizes, first + np.arange(len(first)))
+
+
+SLOT_BITS = 18
+
+
+def slots_of(pairs: np.ndarray) -> np.ndarray:
+    return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
 
 
 def compress(ids: np.ndarray, sizes: np.ndarray, base: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes, the number of codes of each document, and rules: pairs of codes, for nonterminals base, base + 1, ..."""
+    """Codes, the number of codes of each document, and rules: pairs of codes, for nonterminals base, base + 1, ...
+
+    Pairs are found by a table with one pair a slot; of frequent pairs that meet in a slot, the most frequent one gets a rule in this round.
+    """
     seq, last = ids.astype(np.uint32), np.zeros(len(ids), bool)
     last[np.cumsum(sizes)[sizes > 0] - 1] = True
     rules = np.zeros(0, np.uint32)
     for left in range(rounds, 0, -1):
         free = (CODES - base - len(rules)) // left
         pair = (seq[:-1] << np.uint32(16)) | seq[1:]
-        pair_in = ~last[:-1]
-        ordered = np.sort(pair[pair_in])
+        inside = ~last[:-1]
+        ordered = np.sort(pair[inside])
         if not len(ordered) or free <= 0:
             break
         first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
@@ -114,17 +159,16 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int, rounds: int = ROUNDS
         often = often[np.argsort(-counts[often], kind="stable")[:free]]
         if not len(often):
             break
-        chosen = np.sort(ordered[first[often]])
-        where = np.minimum(np.searchsorted(chosen, pair), len(chosen) - 1)
-        hit = (chosen[where] == pair) & pair_in
+        chosen = ordered[first[often]]
+        rule_in = np.zeros(1 << SLOT_BITS, np.uint16)
+        rule_in[slots_of(chosen[::-1])] = np.arange(len(chosen))[::-1]  # the most frequent pair is written last
+        rule = rule_in[slots_of(pair)]
+        at = np.flatnonzero((chosen[rule] == pair) & inside)
         # in a run of overlapping pairs every other one is taken, from the left
-        place = np.arange(len(hit))
-        begins = hit.copy()
-        begins[1:] &= ~hit[:-1]
-        run = np.maximum.accumulate(np.where(begins, place, 0))
-        hit &= (place - run) % 2 == 0
-        at = np.flatnonzero(hit)
-        seq[at] = base + len(rules) + where[at]
+        begins = np.concatenate(([True], at[1:] != at[:-1] + 1))
+        run = np.maximum.accumulate(np.where(begins, at, 0))
+        at = at[(at - run) % 2 == 0]
+        seq[at] = base + len(rules) + rule[at].astype(np.uint32)
         last[at] = last[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
