@@ -20,6 +20,7 @@ text. A document is never split; one that is longer than a shard is a shard. Emp
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from itertools import chain
@@ -55,7 +56,8 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 ALNUM, STOPS = np.zeros(256, bool), np.zeros(256, bool)
 ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 STOPS[list(b".,;:!?")] = True
-TOGETHER = 500  # words that are encoded in one call
+PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+TOGETHER = 50  # words that are encoded in one call
 
 
 class Encoder:
@@ -64,9 +66,11 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {c: spell(chr(c))[0][0] for c in range(0xDF, 0x100)}
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.forget()
 
@@ -74,22 +78,33 @@ class Encoder:
         self.keys, self.at, self.sizes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
 
     def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words one after the other, and the number of ids of each. Words of letters alone go through the library many at a
-        time: they are one piece each, which the library numbers; if the numbers do not fit, they go one by one."""
-        letters = [k for k, w in enumerate(words) if w.isalpha()]
-        single = [k for k, w in enumerate(words) if not w.isalpha()]
+        """Ids of words one after the other, and the number of ids of each.
+
+        Words of small Latin-1 letters go to the library's model at once, in its spelling of bytes: its normaliser and splitter leave
+        them as they are. Other words of letters go through the whole library many at a time: they are one piece each, which it
+        numbers; if the numbers do not fit, they go one by one, as all others.
+        """
+        plain, letters, single = [], [], []
+        for k, w in enumerate(words):
+            (plain if PLAIN.fullmatch(w) else letters if w.isalpha() else single).append(k)
+        tokenize = self.tokenizer.model.tokenize
         owner, ids = [], []
+
+        def add(which: list[int], found: list[list[int]]) -> None:
+            times = np.fromiter(map(len, found), np.int64, len(found))
+            owner.append(np.repeat(np.array(which, np.int64), times))
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint16, int(times.sum())))
+
+        add(plain, [[t.id for t in tokenize(words[k].translate(self.spelling))] for k in plain])
         groups = [letters[k : k + TOGETHER] for k in range(0, len(letters), TOGETHER)]
         for group, e in zip(groups, self.tokenizer.encode_batch([" ".join([words[k] for k in g]) for g in groups], add_special_tokens=False)):
             number = np.array(e.word_ids, np.int64)
-            if len(number) and (np.diff(number) <= 1).all() and (np.diff(number) >= 0).all() and number[0] == 0 and number[-1] == len(group) - 1:
+            if len(number) and number[0] == 0 and number[-1] == len(group) - 1 and np.isin(np.diff(number), (0, 1)).all():
                 owner.append(np.array(group)[number]), ids.append(np.array(e.ids, np.uint16))
             else:
                 single += group
-        alone = [e.ids for e in self.tokenizer.encode_batch_fast([words[k] for k in single], add_special_tokens=False)]
-        times = np.fromiter(map(len, alone), np.int64, len(alone))
-        owner.append(np.repeat(np.array(single, np.int64), times)), ids.append(np.fromiter(chain.from_iterable(alone), np.uint16, int(times.sum())))
-        owner, ids = (np.concatenate([np.zeros(0, t), *x]) for x, t in ((owner, np.int64), (ids, np.uint16)))
+        add(single, [e.ids for e in self.tokenizer.encode_batch_fast([words[k] for k in single], add_special_tokens=False)])
+        owner, ids = np.concatenate(owner), np.concatenate(ids)
         return ids[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
 
     def places(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
