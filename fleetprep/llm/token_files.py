@@ -53,16 +53,18 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-ALNUM, STOPS = np.zeros(256, bool), np.zeros(256, bool)
-ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
-STOPS[list(b".,;:!?")] = True
+#: kinds of bytes: letter, digit, other ASCII mark, and 0 for what is not known from the byte alone (an apostrophe begins endings)
+KINDS = np.zeros(256, np.uint8)
+KINDS[[*range(65, 91), *range(97, 123)]] = 1
+KINDS[48:58] = 2
+KINDS[[b for b in range(0x21, 0x7F) if not KINDS[b] and b != 0x27]] = 3
 PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 TOGETHER = 50  # words that are encoded in one call
 
 
 class Encoder:
-    """Ids of words, each encoded once. The tokenizer lower-cases and parts letters or digits from a mark behind them, so words are kept
-    in lower case (unless the text may hold a special token) and without one last mark, which is a word of its own here."""
+    """Ids of words, each encoded once. The tokenizer lower-cases, and parts letters, digits and marks, so words are taken in lower case
+    (unless the text may hold a special token) and cut where the kind of ASCII or Latin-1 characters changes; digits stand alone."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -95,7 +97,7 @@ class Encoder:
             owner.append(np.repeat(np.array(which, np.int64), times))
             ids.append(np.fromiter(chain.from_iterable(found), np.uint16, int(times.sum())))
 
-        add(plain, [[t.id for t in tokenize(words[k].translate(self.spelling))] for k in plain])
+        add(plain, [[t.id for t in tokenize(words[k] if words[k].isascii() else words[k].translate(self.spelling))] for k in plain])
         groups = [letters[k : k + TOGETHER] for k in range(0, len(letters), TOGETHER)]
         for group, e in zip(groups, self.tokenizer.encode_batch([" ".join([words[k] for k in g]) for g in groups], add_special_tokens=False)):
             number = np.array(e.word_ids, np.int64)
@@ -133,13 +135,16 @@ class Encoder:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by the end id, and the number of ids of each."""
         x = scan.read(column)
-        if x.buf.tobytes().find(b"<|") < 0:
+        start, end = x.start, x.end
+        if x.buf.tobytes().find(b"<|") < 0:  # no special token
             x = scan.read(column, True)
-        mark = (x.end - x.start > 1) & STOPS[x.buf[x.end - 1]] & ALNUM[x.buf[np.maximum(x.end - 2, 0)]]
-        cut = np.flatnonzero(mark) + 1
-        start, end = np.insert(x.start, cut, x.end[mark] - 1), np.insert(x.end, cut, x.end[mark])
-        end[np.flatnonzero(mark) + np.arange(len(cut))] -= 1
-        first = x.first + np.concatenate(([0], np.cumsum(mark)))[x.first]
+            kind = KINDS[x.buf]
+            latin = np.flatnonzero(x.buf == 0xC3)  # A-grave to y-diaeresis, all letters but for the signs of multiplication and division
+            latin = latin[~np.isin(x.buf[latin + 1], (0x97, 0xB7))]
+            kind[latin] = kind[latin + 1] = 1
+            cut = np.flatnonzero((kind[1:] > 0) & (kind[:-1] > 0) & ((kind[1:] != kind[:-1]) | (kind[1:] == 2))) + 1
+            start, end = np.sort(np.concatenate((start, cut))), np.sort(np.concatenate((end, cut)))
+        first = np.searchsorted(start, x.off)
         word = self.places(x.buf, start, end)
         at, sizes = np.insert(self.at[word], first[1:], len(self.ids)), np.insert(self.sizes[word], first[1:], 1)
         ids = np.append(self.ids, np.uint16(END_ID))[ragged(at, sizes)]

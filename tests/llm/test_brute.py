@@ -393,3 +393,19 @@ def test_probabilities_add_up_and_state_is_carried():
     texts = [np.append(np.random.default_rng(k).integers(0, end, 90), end).astype(np.int32) for k in range(7)]
     together, apart = gru.score(flat, texts, end), [gru.score(flat, [t], end, steps=7)[0] for t in texts]
     assert np.allclose(together, apart, rtol=1e-4)
+
+
+def test_word_wise_encoding_equals_whole_texts():
+    """Marks, digits, contractions, combining characters, special tokens, scripts and blanks in any order."""
+    import pyarrow as pa
+
+    from fleetprep.llm import scan
+
+    encoder, r = token_files.Encoder(token_files.tokenizer_path()), random.Random(0)
+    single = "abcXYZ'sdtm0129.,!?#-_é×÷ÀÉñßÿ̸́İΣςſﬁ½²٣漢 \n\t\x85\xa0 <|>Kµª`~@&*()[]{}"
+    more = ["'s", "'re", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>", "å", "Å", "≠", "İ", "!'s", "x'd9", "12a3", "naïve,", "3.14", "a.b@c.com"]
+    texts = ["".join(r.choice(single) if r.random() < 0.8 else r.choice(more) for _ in range(r.randint(0, 60))) for _ in range(4000)]
+    for lo, hi, column in scan.slices(pa.array(texts), 2000):
+        ids, sizes = encoder.encode(column)
+        want = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts[lo:hi]]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
