@@ -9,13 +9,16 @@ n - ceil(3n/4) + 1 are used: two rows that link share one of them at least. The
 sketch of counts over all documents), so passages that many documents share drop out of the product; any order gives the same result.
 The product goes by columns: the entries of a shingle meet in one sorted run, shingles with a single class vanish.
 
-1. Each column links its classes to its smallest one only (a star), which takes rows in proportion to entries. Overlap counts are added up per
-   pair; pairs below the bound are discarded, the others are counted in full on the whole sets.
-2. Classes that are now in one component need no further comparison. For columns with several components, all pairs of
-   different components and fitting sizes are added up, bounded and counted in full in the same way.
+1. Each column pairs its classes with its smallest one only (a star), which takes rows in proportion to entries. Overlap counts are added
+   up per pair; pairs below the bound are discarded, the others are counted in full on the whole sets.
+2. Classes that are now in one component need no further comparison, and columns within one component drop out. Some rounds of chains
+   over the others, each in another order, join most of what belongs together, again with rows in proportion to entries.
+3. For the columns that still hold several components, all pairs of different components and fitting sizes are added up, bounded and
+   counted in full in the same way. Only entries outside a column's main component meet the others.
 
 So every link between different components is found, and big groups of near copies never become all their pairs. The bound: pairs that share
-c of their leading shingles share at most c + max(n - lead(n), m - lead(m)) in all.
+c of their leading shingles share at most c + max(n - lead(n), m - lead(m)) in all. In the first two steps c is the number of columns where the
+two happen to be paired, which may discard too much; the third step makes up for it.
 
 Null text or text without words: empty set, linked with nothing. Fewer than 5 words: the whole sequence is the one shingle. Null doc_id:
 takes part, is never a component_id unless the whole component has none. Repeated rows: each is returned. Empty table: no rows.
@@ -26,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetprep.cluster import stage
@@ -187,12 +190,49 @@ def columns(rows: DataFrame) -> DataFrame:
 
 
 def bounded(pairs: DataFrame) -> DataFrame:
-    """a, n, b, m, with one row per shared column -> the pairs whose overlap count leaves a chance to link."""
-    counted = pairs.groupBy("a", "b").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.count("*").alias("c"))
+    """a, n, ra, b, m, rb, with one row per shared column -> the pairs whose overlap count leaves a chance to link."""
+    counted = pairs.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("n", "m", "ra", "rb")], F.count("*").alias("c"))
     behind = lambda n: F.expr(f"(3 * {n} + 3) div 4 - 1")
     return counted.where(F.col("c") + F.greatest(behind("n"), behind("m")) >= F.expr("(3 * (n + m) + 6) div 7"))
 
 
+def stars(entry: DataFrame) -> DataFrame:
+    """Each class of a column with the smallest one; root is the component of a class so far."""
+    rows = entry.where("cls <> star AND 3 * n <= 4 * star_n")
+    return rows.selectExpr("star AS a", "star_n AS n", "star AS ra", "cls AS b", "n AS m", "cls AS rb")
+
+
+def open_entries(entry: DataFrame) -> DataFrame:
+    """The entries of columns that hold several components; with the component that has most of them (main) and their number (k)."""
+    roots = entry.groupBy("h", "root").agg(F.count("*").alias("n"))
+    main = roots.groupBy("h").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("k"), F.count("*").alias("roots"))
+    return entry.select("h", "cls", "n", "root").join(main.where("roots > 1").drop("roots"), "h")
+
+
+def chains(entry: DataFrame, seed: int, part: int = 1000, steps: int = 2) -> DataFrame:
+    """Each class of a column with the next ones in a random order that is the same in all columns; long columns are cut into parts."""
+    order = F.xxhash64("cls", F.lit(seed))
+    rows = entry.withColumn("o", order).withColumn("part", F.pmod("o", F.ceil(F.col("k") / part)))
+    line = Window.partitionBy("h", "part").orderBy("o")
+    me = F.struct("n", "cls", "root")
+    rows = rows.withColumn("near", F.array(*[F.lag(me, i).over(line) for i in range(1, steps + 1)]))
+    return sized(rows.select(me.alias("x"), F.explode("near").alias("y")).where("y IS NOT NULL AND x.root <> y.root"))
+
+
+def sized(rows: DataFrame) -> DataFrame:
+    """Pairs of structs x, y (n, cls, root) of fitting sizes, the smaller one first."""
+    rows = rows.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("3 * y.n <= 4 * x.n")
+    return rows.selectExpr("x.cls AS a", "x.n AS n", "x.root AS ra", "y.cls AS b", "y.n AS m", "y.root AS rb")
+
+
+def crossings(entry: DataFrame) -> DataFrame:
+    """All pairs of a column that are in different components; one of the two is not in the main one."""
+    x, y = entry.where("root <> main").alias("x"), entry.alias("y")
+    meet = F.expr("x.h = y.h AND x.root <> y.root AND (y.root = y.main OR x.n < y.n OR x.n = y.n AND x.cls < y.cls) AND 3 * y.n <= 4 * x.n AND 3 * x.n <= 4 * y.n")
+    rows = x.join(y, meet)
+    return sized(rows.select(F.struct("x.n", "x.cls", "x.root").alias("x"), F.struct("y.n", "y.cls", "y.root").alias("y")))
+
+
 def whole_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     """cls, shingles of the classes in a bitmap (and some more)."""
 
@@ -221,32 +261,37 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     wanted = bitmap(pairs.select(F.explode(F.array("a", "b")).alias("cls")), "cls")
     rows = whole_sets(docs, wanted).dropDuplicates(["cls"])
     both = pairs.join(rows.select(F.col("cls").alias("b"), F.col("shingles").alias("s")), "b").join(rows.select(F.col("cls").alias("a"), F.col("shingles").alias("t")), "a")
-    return both.where(7 * F.size(F.array_intersect("s", "t")) >= 3 * (F.size("s") + F.size("t"))).select("a", "b")
+    return both.where(7 * F.size(F.array_intersect("s", "t")) >= 3 * (F.size("s") + F.size("t"))).select("a", "b", "ra", "rb")
+
 
+def merged(entry: DataFrame, links: DataFrame) -> DataFrame:
+    """The entries with the components that the links join."""
+    roots = components(links.selectExpr("ra AS a", "rb AS b")).select(F.col("node").alias("root"), F.col("root").alias("joined"))
+    return entry.join(roots, "root", "left").withColumn("root", F.coalesce("joined", "root")).drop("joined")
 
-def similar(docs: DataFrame) -> DataFrame:
+
+def similar(docs: DataFrame, rounds: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     docs = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     rows = stage(classes(docs))
     members = rows.where("chunk IS NULL").select("doc_id", "n", "cls")
     shingles = members.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    shared = stage(columns(entries(docs, frequent_cells(rows.where("chunk IS NOT NULL"), shingles))))
-
-    stars = shared.where("cls <> star AND 3 * n <= 4 * star_n").select(F.col("star").alias("a"), F.col("star_n").alias("n"), F.col("cls").alias("b"), F.col("n").alias("m"))
-    tried = stage(bounded(stars))
-    links = stage(verified(docs, tried))
-
+    entry = stage(columns(entries(docs, frequent_cells(rows.where("chunk IS NOT NULL"), shingles))))
+
+    tried = stage(bounded(stars(entry)))
+    found = stage(verified(docs, tried))
+    links, pairs = found.select("a", "b"), tried.select("a", "b")
+    entry = stage(open_entries(merged(entry.withColumn("root", F.col("cls")), found)))
+    for k in range(rounds + 1):
+        tried = bounded(chains(entry, k) if k < rounds else crossings(entry))
+        tried = stage(tried.join(pairs, ["a", "b"], "left_anti"))
+        if tried.isEmpty():
+            continue
+        found = stage(verified(docs, tried))
+        links, pairs = links.unionByName(found.select("a", "b")), pairs.unionByName(tried.select("a", "b"))
+        if k < rounds:
+            entry = stage(open_entries(merged(entry, found)))
     roots = components(links)
-    entry = shared.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("h", "cls", "n", F.coalesce("root", "cls").alias("root"))
-    entry = stage(entry)
-    open_columns = entry.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
-    entry = entry.join(open_columns, "h")
-    x, y = entry.alias("x"), entry.alias("y")
-    fits = F.expr("x.h = y.h AND x.root <> y.root AND (x.n < y.n OR x.n = y.n AND x.cls < y.cls) AND 3 * y.n <= 4 * x.n")
-    crossed = x.join(y, fits).select(F.col("x.cls").alias("a"), F.col("x.n").alias("n"), F.col("y.cls").alias("b"), F.col("y.n").alias("m"))
-    crossed = stage(bounded(crossed).join(tried.select("a", "b"), ["a", "b"], "left_anti"))
-    if not crossed.isEmpty():
-        roots = components(links.unionByName(verified(docs, crossed)))
 
     placed = members.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("doc_id", "n", F.coalesce("root", "cls").alias("root"))
     placed = stage(placed)
