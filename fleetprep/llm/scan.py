@@ -16,7 +16,7 @@ import xxhash
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 3 << 20
 INLINE = 64  # longer words and spans are hashed one by one
 
 _P1, _P2, _P3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
