@@ -48,10 +48,12 @@ def _(spark, sf):
 
 
 @query("class_report", sql(
-    f"WITH {class_sql('predictions')} SELECT label, {r('precision')} AS precision, {r('recall')} AS recall, {r('f1')} AS f1, support, hits FROM report", "predictions"
+    f"WITH {class_sql('predictions')} SELECT v.label, {r('coalesce(precision, 0)')} AS precision, {r('coalesce(recall, 0)')} AS recall, {r('coalesce(f1, 0)')} AS f1, "
+    f"{n('coalesce(support, 0)')} AS support, {n('coalesce(hits, 0)')} AS hits FROM (SELECT unnest({[*LABELS, 'none']}) AS label) v LEFT JOIN report USING (label)", "predictions",
 ))
 def _(spark, sf):
-    return M.class_report(M.confusion_counts(predictions(spark, sf), "class_true", "class_pred"))
+    counts = M.confusion_counts(predictions(spark, sf), "class_true", "class_pred")
+    return M.class_report(counts, [*LABELS, "none"])  # one label of the set never occurs
 
 
 def _cell(v: str) -> str:

@@ -43,11 +43,27 @@ def _(spark, sf):
 
 
 @query("dev_sample", sql(
-    f"WITH sampled AS (SELECT * FROM features ORDER BY {HASH.format(seed='42|sample')}, vehicle_record_id LIMIT {K.DEV_ROWS}) "
+    f"WITH sampled AS (SELECT * FROM features ORDER BY {HASH.format(seed='42|sample')}, vehicle_record_id LIMIT (SELECT count(*) // 2 FROM features)) "
     + B.split_sql("sampled", "42|validation", "validation", "train", "vehicle_record_id"), "features",
 ))
 def _(spark, sf):
-    return S.development_sample(feature_rows(spark, sf), KEY, K.DEV_ROWS, K.TEST_SHARE, K.SEED, K.PART).select(KEY, K.PART)
+    rows = stage(feature_rows(spark, sf))
+    return S.development_sample(rows, KEY, rows.count() // 2, K.TEST_SHARE, K.SEED, K.PART).select(KEY, K.PART)
+
+
+@query("stratified_sample", sql(
+    "WITH labelled_class AS (SELECT vehicle_record_id, " + B.emission_class(Y) + " AS co2_emission_class FROM labelled), "
+    "sizes AS (SELECT co2_emission_class AS c, count(*) AS k FROM labelled_class GROUP BY 1), "
+    "total AS (SELECT sum(k) AS n, sum(k) // 3 AS m FROM sizes), "
+    "shares AS (SELECT c, (k * m) // n AS whole, (k * m) % n AS rest, m FROM sizes, total), "
+    "alloc AS (SELECT c, whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, c) <= m - sum(whole) OVER () THEN 1 ELSE 0 END AS take FROM shares) "
+    f"SELECT z.vehicle_record_id, z.co2_emission_class FROM (SELECT *, "
+    f"row_number() OVER (PARTITION BY co2_emission_class ORDER BY {HASH.format(seed='42')}, vehicle_record_id) AS rn FROM labelled_class) z "
+    "JOIN alloc a ON a.c = z.co2_emission_class WHERE z.rn <= a.take", "labelled",
+))
+def _(spark, sf):
+    rows = stage(emission_class(labelled(spark, sf), K.TARGET, K.CLASS_BOUNDS, K.CLASS_LABELS, K.CLASS).select(KEY, K.CLASS))
+    return S.stratified_sample(rows, KEY, K.CLASS, rows.count() // 3, K.SEED)
 
 
 @query("stratified_split", sql(
@@ -118,7 +134,7 @@ def _filled(spark, sf):
 
 
 @query("train_medians", sql(" UNION ALL ".join(
-    f"SELECT '{c}' AS variable, {r(B._median(c))} AS median" for c in [*K.CONDITIONAL_RULES, *K.MEDIAN_COLUMNS]
+    f"SELECT '{c}' AS variable, {r(B._median(c))} AS median" for c in [*K.CONDITIONAL_RULES, *RULES.medians]
 ), "train_filled"))
 def _(spark, sf):
     from fleetprep.operators.quantiles import quantiles
@@ -169,7 +185,7 @@ def _(spark, sf):
 
 
 def _summary_sql() -> str:
-    lines, order = [], [*K.CONDITIONAL_RULES, *K.ZERO_FILL_COLUMNS, *K.MEDIAN_COLUMNS]
+    lines, order = [], [*K.CONDITIONAL_RULES, *K.ZERO_FILL_COLUMNS, *RULES.medians]
     for i, c in enumerate(order):
         for part in ("train", "test"):
             gaps = f"count(*) FILTER (WHERE part = '{part}' AND {c} IS NULL)"
@@ -256,7 +272,7 @@ def _params_sql() -> str:
         lines.append(
             f"SELECT 'category', row_number() OVER (ORDER BY {c}) - 1, '{c}', {c}, CAST(NULL AS DOUBLE) FROM (SELECT DISTINCT {c} FROM split WHERE part = 'train' AND {c} IS NOT NULL) {c}_z"
         )
-    for i, c in enumerate([*K.CONDITIONAL_RULES, *K.MEDIAN_COLUMNS]):
+    for i, c in enumerate([*K.CONDITIONAL_RULES, *RULES.medians]):
         line("median", i, c, number=B._median(c))
     for i, c in enumerate(K.NUMERIC_FEATURES):
         line("mean", i, c, number=f"(SELECT avg({c}) FROM train_imputed)")
@@ -328,7 +344,7 @@ def _(spark, sf):
     return tables[0].unionByName(tables[1])
 
 
-_treated = [*K.CONDITIONAL_RULES, *K.ZERO_FILL_COLUMNS, *K.MEDIAN_COLUMNS, *FLAGS]
+_treated = [*K.CONDITIONAL_RULES, *K.ZERO_FILL_COLUMNS, *RULES.medians, *FLAGS]
 
 
 @query("treatment_status", sql(" UNION ALL ".join(

@@ -12,7 +12,7 @@ from catalogue.blocks import q, sql
 from catalogue.inputs import cleaned_rows, feature_rows, labelled, normalized, registrations, split_rows
 from catalogue.registry import n, query, r
 from fleetprep import contracts as K
-from fleetprep.cluster import settle, shared_folder, stage
+from fleetprep.cluster import shared_folder, stage
 from fleetprep.functions.text import comparison_key, name
 from fleetprep.functions.values import parse_bound, present, right_closed_class
 from fleetprep.operators import makes, schema
@@ -35,10 +35,13 @@ def _out(columns, renames={}) -> str:
 
 # ---- scans ----
 
-@query("scan_parquet_head", f"SELECT count(*) AS row_count, least(count(*), {HEAD_ROWS}) AS head_rows FROM orders")
+@query("scan_parquet_head", (
+    f"SELECT count(*) AS row_count, least(count(*), {HEAD_ROWS}) AS head_rows, {n(f'sum(o_orderkey) FILTER (WHERE file_row_number < {HEAD_ROWS})')} AS key_sum "
+    f"FROM (SELECT o_orderkey, row_number() OVER () - 1 AS file_row_number FROM orders)"
+))
 def _(spark, sf):
     path = f"{sf}/orders.parquet"
-    head = scan_parquet(spark, path, HEAD_ROWS).agg(F.count("*").alias("head_rows")).withColumn("k", F.lit(1))
+    head = scan_parquet(spark, path, HEAD_ROWS).agg(F.count("*").alias("head_rows"), F.sum("o_orderkey").alias("key_sum")).withColumn("k", F.lit(1))
     full = scan_parquet(spark, path).agg(F.count("*").alias("row_count")).withColumn("k", F.lit(1))
     return full.join(head, "k").drop("k")
 
@@ -120,31 +123,40 @@ def _(spark, sf):
     return schema.column_kinds(registrations(spark, sf))
 
 
+REASONS = {
+    "target": "what the models predict", "identifier": "names a row, explains nothing", "constant": "one value only, so far",
+    "high_cardinality": "too many values to encode as it is", "other": "may explain the target",
+}
+
+
+def _registry_entry(kind: str) -> tuple[str, str, str]:
+    return (*K.ROLES[kind], REASONS[kind])
+
+
 def _registry_sql() -> str:
     lines = []
     for c in B.ALL_COLUMNS:
-        fixed = (
-            ("target", "keep", "Target of the regression.") if c == K.TARGET
-            else ("technical_identifier", "keep_for_traceability", "Identifier kept for traceability; not an explanatory variable.") if c == K.KEY
-            else None
-        )
-        other = (
-            ("high_cardinality_feature", "keep_for_feature_engineering", "Kept after cleaning; use to be reviewed in feature engineering.")
-            if c in K.HIGH_CARDINALITY_COLUMNS else ("business_feature", "keep", "Business variable kept after the cleaning checks.")
-        )
-        constant = ("potential_constant", "confirm_on_full_dataset", "Constant in the rows seen; to be confirmed on the full data.")
-        test = f"count(DISTINCT {q(c)}) + max(CASE WHEN {q(c)} IS NULL THEN 1 ELSE 0 END) <= 1"
-        texts = [f"'{x}'" for x in fixed] if fixed else [f"CASE WHEN {test} THEN '{a}' ELSE '{b}' END" for a, b in zip(constant, other)]
+        one_value = f"count(DISTINCT {q(c)}) + max(CASE WHEN {q(c)} IS NULL THEN 1 ELSE 0 END) <= 1"
+        if c == K.TARGET or c == K.KEY:
+            entry = [f"'{x}'" for x in _registry_entry("target" if c == K.TARGET else "identifier")]
+        else:
+            plain = _registry_entry("high_cardinality" if c in K.HIGH_CARDINALITY_COLUMNS else "other")
+            entry = [f"CASE WHEN {one_value} THEN '{x}' ELSE '{y}' END" for x, y in zip(_registry_entry("constant"), plain)]
         lines.append(
-            f"SELECT '{c}' AS variable, count(*) - count({q(c)}) AS missing, {texts[0]} AS role, {texts[1]} AS decision, "
-            f"{texts[2]} AS rationale, '{DTYPES[c]}' AS dtype FROM registrations"
+            f"SELECT '{c}' AS variable, count(*) - count({q(c)}) AS missing, {entry[0]} AS role, {entry[1]} AS decision, "
+            f"{entry[2]} AS rationale, '{DTYPES[c]}' AS dtype FROM registrations"
         )
     return " UNION ALL ".join(lines)
 
 
 @query("variable_registry", sql(_registry_sql(), "registrations"))
 def _(spark, sf):
-    return schema.variable_registry(registrations(spark, sf), K.TARGET, [K.KEY], K.HIGH_CARDINALITY_COLUMNS)
+    v = F.col("variable")
+    conditions = {
+        "target": v == K.TARGET, "identifier": v == K.KEY, "constant": F.col("constant"), "high_cardinality": v.isin(K.HIGH_CARDINALITY_COLUMNS),
+    }
+    rules = [(condition, *_registry_entry(kind)) for kind, condition in conditions.items()]
+    return schema.variable_registry(registrations(spark, sf), rules, _registry_entry("other"))
 
 
 # ---- filters ----
@@ -265,12 +277,15 @@ def _(spark, sf):
     f"SELECT comparison_key, canonical, {n('observations')} AS observations, variants FROM canon", "canon"
 ))
 def _(spark, sf):
-    return makes.canonical_variants(makes.spelling_counts(normalized(spark, sf), K.MAKE))
+    return makes.canonical_variants(makes.spelling_counts(_make_counts(spark, sf)))
+
+
+def _make_counts(spark, sf):
+    return makes.make_counts(normalized(spark, sf), K.MAKE, K.MAKER_EU, K.MAKER_OEM)
 
 
-def _spelled(spark, sf):
-    rows = normalized(spark, sf)
-    return makes.with_canonical(rows, K.MAKE, makes.canonical_spellings(rows, K.MAKE))
+def _pair_share(counts, spellings):
+    return makes.pair_share(counts, spellings, K.MAKE, K.MAKER_EU, K.MAKER_OEM)
 
 
 _pair_names = "eu AS manufacturer_name_eu, oem AS manufacturer_name_oem, make AS manufacturer_make"
@@ -280,12 +295,14 @@ _pair_names = "eu AS manufacturer_name_eu, oem AS manufacturer_name_oem, make AS
     f"SELECT {_pair_names}, observations, {n('pair_observations')} AS pair_observations, {r('share')} AS share FROM pair_shares", "pair_shares"
 ))
 def _(spark, sf):
-    return makes.pair_share(_spelled(spark, sf), K.MAKE, K.MAKER_EU, K.MAKER_OEM)
+    counts = _make_counts(spark, sf)
+    return _pair_share(counts, makes.canonical_spellings(counts))
 
 
 @query("reliable_pairs", sql(f"SELECT {_pair_names}, observations, {r('share')} AS share FROM pairs", "pairs"))
 def _(spark, sf):
-    shares = makes.pair_share(_spelled(spark, sf), K.MAKE, K.MAKER_EU, K.MAKER_OEM)
+    counts = _make_counts(spark, sf)
+    shares = _pair_share(counts, makes.canonical_spellings(counts))
     return makes.reliable_pairs(shares, K.MAKE, K.MAKER_EU, K.MAKER_OEM, K.MIN_PAIR_SHARE)
 
 
@@ -293,9 +310,10 @@ def _(spark, sf):
     "SELECT vehicle_record_id, CASE WHEN is_num THEN 'numeric' ELSE 'text' END AS kind, manufacturer_make FROM resolved", "resolved"
 ))
 def _(spark, sf):
-    rows = _spelled(spark, sf)
-    shares = makes.pair_share(rows, K.MAKE, K.MAKER_EU, K.MAKER_OEM)
-    pairs = settle(makes.reliable_pairs(shares, K.MAKE, K.MAKER_EU, K.MAKER_OEM, K.MIN_PAIR_SHARE))
+    counts = _make_counts(spark, sf)
+    spellings = makes.canonical_spellings(counts)
+    pairs = stage(makes.reliable_pairs(_pair_share(counts, spellings), K.MAKE, K.MAKER_EU, K.MAKER_OEM, K.MIN_PAIR_SHARE))
+    rows = makes.with_canonical(normalized(spark, sf), K.MAKE, spellings)
     kind = F.when(makes.is_digits(name(K.MAKE)), "numeric").otherwise("text")
     out = makes.resolve_numeric_make(rows.withColumn("kind", kind), K.MAKE, K.MAKER_EU, K.MAKER_OEM, pairs)
     return out.select(K.KEY, "kind", K.MAKE)

@@ -1,19 +1,12 @@
-"""Shared-folder staging, and limits checked before anything small is fetched or broadcast."""
+"""Staging in the shared folder, and one-row results."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
-
-from fleetprep.functions.text import name
-
-SMALL_ROWS = 100_000
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -44,64 +37,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def fetch_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> list[Row] | None:
-    """The rows if there are at most max_rows of them, else None."""
-    rows = df.limit(max_rows + 1).collect()
-    return None if len(rows) > max_rows else rows
-
-
-def local_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
-    """The rows as a driver-held table fit for broadcasting, or None if there are too many."""
-    rows = fetch_small(df, max_rows)
-    return None if rows is None else df.sparkSession.createDataFrame(rows, df.schema)
-
-
-@dataclass(frozen=True)
-class Settled:
-    """A derived table that has been computed once; small ones are held by the driver and fit for broadcasting."""
-
-    rows: DataFrame
-    small: bool
-
-
-def settle(df: DataFrame, max_rows: int = SMALL_ROWS) -> Settled:
-    small = local_table(df, max_rows)
-    return Settled(stage(df), False) if small is None else Settled(small, True)
-
-
-def lookup_join(
-    fact: DataFrame,
-    lookup: Settled,
-    keys: Sequence[str],
-    hot_share: int = 1000,
-) -> DataFrame:
-    """Left join of a lookup table that has one row per key; a missing key finds nothing.
-
-    A lookup that was found to be small is broadcast, so the fact rows do not move. A larger one is joined by a shuffle,
-    but the keys that each hold more than 1/hot_share of the fact rows - there can be at most hot_share of them - are
-    taken out and joined by broadcast, as are missing keys, so that no task gets a hot key.
-    """
-    keys = list(keys)
-    if lookup.small:
-        return fact.join(F.broadcast(lookup.rows), keys, "left")
-
-    any_missing = F.lit(False)
-    for k in keys:
-        any_missing = any_missing | name(k).isNull()
-    total = fact.count()
-    heavy = (
-        fact.where(~any_missing).groupBy(*keys).agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > total // hot_share).select(*keys)
-    )
-    heavy = fact.sparkSession.createDataFrame(heavy.collect(), heavy.schema).withColumn("_hot", F.lit(True))
-    marked = fact.join(F.broadcast(heavy), keys, "left")
-    is_hot = any_missing | F.coalesce(F.col("_hot"), F.lit(False))
-    hot_lookup = lookup.rows.join(F.broadcast(heavy), keys, "left_semi")
-    hot = marked.where(is_hot).drop("_hot").join(F.broadcast(hot_lookup), keys, "left")
-    cold = marked.where(~is_hot).drop("_hot").join(lookup.rows, keys, "left")
-    return hot.unionByName(cold)
-
-
 def one_row(df: DataFrame, aggregates: dict[str, Column]) -> dict:
     """Run the aggregates in one pass over the rows and return the single result row."""
     return df.agg(*[c.alias(k) for k, c in aggregates.items()]).first().asDict() if aggregates else {}

@@ -60,11 +60,11 @@ def eta_squared(df: DataFrame, target: str, categories: Sequence[str]) -> DataFr
     groups = long.where("value is not null").groupBy("variable", "value").agg(
         F.count("*").alias("n"), F.avg("y").alias("m"), (F.var_pop("y") * F.count("*")).alias("within")
     )
-    n, m = F.col("n"), F.col("m")
-    between = F.sum(n * m * m) - F.sum(n * m) * F.sum(n * m) / F.sum("n")
-    totals = groups.groupBy("variable").agg(
-        F.count("*").alias("groups"), F.sum("n").alias("n"),
-        F.greatest(between, F.lit(0.0)).alias("between"), F.sum("within").alias("within"),
+    # group means against the mean of all their rows: no difference of two large sums
+    means = groups.groupBy("variable").agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean"))
+    off = F.col("m") - F.col("mean")
+    totals = groups.join(means, "variable").groupBy("variable").agg(
+        F.count("*").alias("groups"), F.sum("n").alias("n"), F.sum(F.col("n") * off * off).alias("between"), F.sum("within").alias("within"),
     )
     share = F.coalesce(F.try_divide(F.col("between"), F.col("between") + F.col("within")), F.lit(0.0))
     return totals.select("variable", "groups", "n", share.alias("eta_squared"))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetprep.cluster import Settled, lookup_join, settle
+from fleetprep.cluster import stage
 from fleetprep.functions.text import comparison_key, is_digits, name, strip, strip_upper
 from fleetprep.operators.schema import require_columns
 from fleetprep.operators.shape import text_columns
@@ -27,48 +27,55 @@ def normalize_text(df: DataFrame, upper_codes: Sequence[str] = (), rules: Mappin
     return df.withColumns(out) if out else df
 
 
-def spelling_counts(df: DataFrame, make: str) -> DataFrame:
-    """(spelling, n, comparison_key) of the text makes; a brand held by many rows arrives as a few counts."""
-    text = df.where(name(make).isNotNull() & ~is_digits(name(make)))
-    counts = text.groupBy(strip(name(make)).alias("spelling")).agg(F.count("*").alias("n"))
-    return counts.withColumn("comparison_key", comparison_key(F.col("spelling")))
+def make_counts(df: DataFrame, make: str, first: str, second: str) -> DataFrame:
+    """(spelling, numeric, first, second, n): rows per stripped make and upper-case maker pair, computed once and staged.
 
+    Everything that is learned about makes follows from this table; a brand held by many rows arrives as a few counts.
+    """
+    keys = [
+        strip(name(make)).alias("spelling"), is_digits(name(make)).alias("numeric"),
+        strip_upper(name(first)).alias(first), strip_upper(name(second)).alias(second),
+    ]
+    return stage(df.groupBy(*keys).agg(F.count("*").alias("n")))
+
+
+def spelling_counts(counts: DataFrame) -> DataFrame:
+    """(spelling, n, comparison_key) of the text makes."""
+    text = counts.where("spelling is not null and not numeric").groupBy("spelling").agg(F.sum("n").alias("n"))
+    return text.withColumn("comparison_key", comparison_key(F.col("spelling")))
 
-def canonical_variants(counts: DataFrame) -> DataFrame:
+
+def canonical_variants(spellings: DataFrame) -> DataFrame:
     """(comparison_key, canonical, observations, variants): the most frequent spelling of each key, ties to the smallest."""
-    return counts.groupBy("comparison_key").agg(
+    return spellings.groupBy("comparison_key").agg(
         F.min_by("spelling", F.struct(-F.col("n"), F.col("spelling"))).alias("canonical"),
         F.sum("n").alias("observations"),
         F.count("*").alias("variants"),
     )
 
 
-def canonical_spellings(df: DataFrame, make: str) -> Settled:
-    """(spelling, canonical, comparison_key) for every spelling that occurs, computed once."""
-    counts = settle(spelling_counts(df, make)).rows
-    canon = canonical_variants(counts).select("comparison_key", "canonical")
-    return settle(counts.join(canon, "comparison_key").select("spelling", "canonical", "comparison_key"))
+def canonical_spellings(counts: DataFrame) -> DataFrame:
+    """(spelling, canonical, comparison_key) for every spelling that occurs."""
+    spellings = spelling_counts(counts)
+    canon = canonical_variants(spellings).select("comparison_key", "canonical")
+    return stage(spellings.join(canon, "comparison_key").select("spelling", "canonical", "comparison_key"))
 
 
-def with_canonical(df: DataFrame, make: str, spellings: Settled) -> DataFrame:
+def with_canonical(df: DataFrame, make: str, spellings: DataFrame) -> DataFrame:
     """Replace text makes by their canonical spelling; numeric and missing makes stay. A lookup, no pattern per row."""
-    lookup = spellings.rows.select(F.col("spelling").alias("_spelling"), F.col("canonical").alias("_canonical"))
-    keyed = df.withColumn("_spelling", strip(name(make)))
-    joined = lookup_join(keyed, Settled(lookup, spellings.small), ["_spelling"])
+    lookup = spellings.select(F.col("spelling").alias("_spelling"), F.col("canonical").alias("_canonical"))
+    joined = df.withColumn("_spelling", strip(name(make))).join(lookup, "_spelling", "left")
     return joined.withColumn(make, F.coalesce("_canonical", name(make))).select(*[name(c) for c in df.columns])
 
 
-def pair_share(df: DataFrame, make: str, first: str, second: str) -> DataFrame:
-    """(first, second, make, observations, pair_observations, share) of text makes per upper-case maker pair."""
-    text = df.where(
-        name(make).isNotNull() & ~is_digits(name(make)) & name(first).isNotNull() & name(second).isNotNull()
-    )
-    counts = text.groupBy(
-        strip_upper(name(first)).alias(first), strip_upper(name(second)).alias(second), name(make).alias(make)
-    ).agg(F.count("*").alias("observations"))
+def pair_share(counts: DataFrame, spellings: DataFrame, make: str, first: str, second: str) -> DataFrame:
+    """(first, second, make, observations, pair_observations, share) of canonical text makes per upper-case maker pair."""
+    text = counts.where(~F.col("numeric") & name(first).isNotNull() & name(second).isNotNull())
+    text = text.join(spellings.select("spelling", F.col("canonical").alias(make)), "spelling")
+    sums = text.groupBy(name(first), name(second), name(make)).agg(F.sum("n").alias("observations"))
     # one row per brand of a pair here
     total = F.sum("observations").over(Window.partitionBy(first, second))
-    return counts.withColumn("pair_observations", total).withColumn("share", F.col("observations") / F.col("pair_observations"))
+    return sums.withColumn("pair_observations", total).withColumn("share", F.col("observations") / F.col("pair_observations"))
 
 
 def reliable_pairs(shares: DataFrame, make: str, first: str, second: str, min_share: float) -> DataFrame:
@@ -85,50 +92,43 @@ def reliable_pairs(shares: DataFrame, make: str, first: str, second: str, min_sh
     ).where(F.col("share") >= min_share)
 
 
-def resolve_numeric_make(df: DataFrame, make: str, first: str, second: str, pairs: Settled) -> DataFrame:
+def resolve_numeric_make(df: DataFrame, make: str, first: str, second: str, pairs: DataFrame) -> DataFrame:
     """Numeric makes become the reliable make of their maker pair, or missing."""
     numeric = F.col("_numeric")
     keyed = df.withColumn("_numeric", is_digits(name(make))).withColumns({
         "_a": F.when(numeric, strip_upper(name(first))), "_b": F.when(numeric, strip_upper(name(second))),
     })
-    lookup = pairs.rows.select(name(first).alias("_a"), name(second).alias("_b"), name(make).alias("_make"))
-    joined = lookup_join(keyed, Settled(lookup, pairs.small), ["_a", "_b"])
+    lookup = pairs.select(name(first).alias("_a"), name(second).alias("_b"), name(make).alias("_make"))
+    joined = keyed.join(lookup, ["_a", "_b"], "left")
     return joined.withColumn(make, F.when(numeric, F.col("_make")).otherwise(name(make))).select(*[name(c) for c in df.columns])
 
 
 def normalize_make(df: DataFrame, make: str, first: str, second: str, min_share: float) -> tuple[DataFrame, DataFrame]:
-    """The table with normalised makes, and a one-row report of what was done."""
+    """The table with normalised makes, and a one-row report of what was done: one pass to count, one to look up.
+
+    The lookups are staged, so their sizes are known and the engine joins them by broadcast or, beyond its threshold, by shuffle.
+    """
     require_columns(df, [make, first, second])
     if not 0 < min_share <= 1:
         raise ValueError("the minimal share must lie in ]0, 1]")
-    spellings = canonical_spellings(df, make)
-    spelled = with_canonical(df, make, spellings)
-    pairs = settle(reliable_pairs(pair_share(spelled, make, first, second), make, first, second, min_share))
-    resolved = resolve_numeric_make(spelled, make, first, second, pairs)
-
-    # only numeric rows can change between the two tables, so the counts need those rows alone
-    numeric = spelled.where(is_digits(name(make)))
-    looked_up = resolve_numeric_make(numeric, make, first, second, pairs)
+    counts = make_counts(df, make, first, second)
+    spellings = canonical_spellings(counts)
+    pairs = stage(reliable_pairs(pair_share(counts, spellings, make, first, second), make, first, second, min_share))
+    resolved = resolve_numeric_make(with_canonical(df, make, spellings), make, first, second, pairs)
+
     zero = F.lit(0).cast("bigint")
-    parts = [
-        looked_up.agg(
-            F.count("*").alias("numeric_before"), F.count(name(make)).alias("numeric_resolved"),
-            zero.alias("typographic_keys"), zero.alias("reliable_manufacturer_pairs"),
-        ),
-        spellings.rows.agg(
-            zero.alias("numeric_before"), zero.alias("numeric_resolved"),
-            F.count_distinct("comparison_key").alias("typographic_keys"), zero.alias("reliable_manufacturer_pairs"),
-        ),
-        pairs.rows.agg(
-            zero.alias("numeric_before"), zero.alias("numeric_resolved"),
-            zero.alias("typographic_keys"), F.count("*").alias("reliable_manufacturer_pairs"),
-        ),
-    ]
-    counted = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    report = counted.agg(*[F.sum(c).alias(c) for c in counted.columns]).withColumn(
+    looked_up = counts.where("numeric").join(pairs.select(first, second, F.lit(True).alias("found")), [first, second], "left")
+    report = looked_up.agg(
+        F.coalesce(F.sum("n"), zero).alias("numeric_before"), F.coalesce(F.sum(F.when(F.col("found"), F.col("n"))), zero).alias("numeric_resolved"),
+        zero.alias("typographic_keys"), zero.alias("reliable_manufacturer_pairs"),
+    )
+    for rows, n in ((spellings, F.count_distinct("comparison_key")), (pairs, F.count("*"))):
+        mine = "typographic_keys" if rows is spellings else "reliable_manufacturer_pairs"
+        report = report.unionByName(rows.agg(*[(n if c == mine else zero).alias(c) for c in report.columns]))
+    report = report.agg(*[F.sum(c).alias(c) for c in report.columns])
+    return resolved, report.withColumn(
         "numeric_unresolved", F.col("numeric_before") - F.col("numeric_resolved")
     ).withColumn("resolution_threshold", F.lit(float(min_share)))
-    return resolved, report
 
 
 def apply_aliases(df: DataFrame, make: str, aliases: Mapping[str, str]) -> DataFrame:

@@ -28,17 +28,24 @@ def confusion_counts(df: DataFrame, truth: str, predicted: str, by: Sequence[str
     return df.groupBy(*by, name(truth).alias("truth"), name(predicted).alias("predicted")).agg(F.count("*").alias("n"))
 
 
-def class_report(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """(by..., label, precision, recall, f1, support, hits, rows) for every label that is true or predicted somewhere.
-
-    A ratio without denominator is 0.
+def class_report(counts: DataFrame, labels: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., label, precision, recall, f1, support, hits, rows) for every label of the set, or else for every one that is true or
+    predicted somewhere. A ratio without denominator is 0. Missing labels, and those outside the set, are an error.
     """
+    known = F.lit(True) if labels is None else F.col("label").isin(list(labels))
+    if labels is not None:
+        every = counts.select(*by).distinct() if by else counts.sparkSession.range(1).select()
+        cells = [F.lit(v) for v in labels]
+        every = every.select(*by, F.explode(F.array(*cells)).alias("truth")).select(*by, "truth", F.col("truth").alias("predicted"))
+        counts = counts.unionByName(every.withColumn("n", F.lit(0).cast("bigint")))
     hit = F.when(F.col("truth") == F.col("predicted"), F.col("n")).otherwise(F.lit(0))
     sides = counts.select(*by, F.inline(F.array(
         F.struct(F.col("truth").alias("label"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("claimed"), hit.alias("hits")),
         F.struct(F.col("predicted").alias("label"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("claimed"),
                  F.lit(0).cast("bigint").alias("hits")),
     )))
+    unfit = F.raise_error(F.concat(F.lit("not a known label: "), F.coalesce(F.col("label").cast("string"), F.lit("missing"))))
+    sides = sides.withColumn("label", F.when(F.col("label").isNotNull() & known, F.col("label")).otherwise(unfit.cast(sides.schema["label"].dataType)))
     totals = sides.groupBy(*by, "label").agg(*[F.sum(c).alias(c) for c in ("support", "claimed", "hits")])
     zero = F.lit(0.0)
     return totals.select(
@@ -66,7 +73,7 @@ def classification_metrics(report: DataFrame, by: Sequence[str] = ()) -> DataFra
 
 
 def evaluate_classes(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
-    return classification_metrics(class_report(confusion_counts(df, truth, predicted, by), by), by)
+    return classification_metrics(class_report(confusion_counts(df, truth, predicted, by), by=by), by)
 
 
 def confusion_matrix(counts: DataFrame, labels: Sequence[str], normalized: bool = False) -> DataFrame:

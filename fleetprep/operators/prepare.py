@@ -7,19 +7,19 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetprep import contracts as K
-from fleetprep.cluster import fetch_small, one_row
+from fleetprep.cluster import one_row
 from fleetprep.functions.text import name
 from fleetprep.functions.values import member, present
 from fleetprep.operators.quantiles import scalars
 from fleetprep.operators.schema import require_columns
 from fleetprep.operators.shape import missing_count, numeric_columns, value_counts, wide_to_long
 
-MAX_CATEGORIES = 10_000
-
 
 @dataclass(frozen=True)
 class Rules:
@@ -86,10 +86,9 @@ def one_hot_categories(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit_categories(train: DataFrame, columns: Sequence[str]) -> tuple[dict[str, str], dict[str, list[str]]]:
-    """Modes and sorted categories from one aggregation. Each category becomes a column, so they must be countable ones."""
-    rows = fetch_small(category_counts(train, columns), MAX_CATEGORIES)
-    if rows is None:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories cannot become columns; encode these columns otherwise")
+    """Modes and sorted categories from one aggregation. Each category becomes a column of the table; columns with too many
+    values for that belong to encode_wide."""
+    rows = category_counts(train, columns).collect()
     seen: dict[str, list] = {c: [] for c in columns}
     for r in rows:
         seen[r.variable].append((-r.n, r.value))
@@ -168,6 +167,20 @@ def one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]]) -> DataFrame
     return df.select(*[name(c) for c in df.columns if c not in categories], *encoded)
 
 
+def fit_wide(train: DataFrame, columns: Sequence[str]) -> PipelineModel:
+    """Sparse one-hot vectors for columns with any number of values: one vector column per text column, not one column per value."""
+    indexed, encoded = [f"{c}_index" for c in columns], [f"{c}_vector" for c in columns]
+    return Pipeline(stages=[
+        StringIndexer(inputCols=list(columns), outputCols=indexed, handleInvalid="keep", stringOrderType="frequencyDesc"),
+        OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep", dropLast=True),
+    ]).fit(train)
+
+
+def encode_wide(df: DataFrame, model: PipelineModel, columns: Sequence[str]) -> DataFrame:
+    """Replace text columns by their vectors; unknown and missing values share one place of their own."""
+    return model.transform(df).drop(*columns, *[f"{c}_index" for c in columns])
+
+
 def standardize(df: DataFrame, means: Mapping[str, float], stds: Mapping[str, float]) -> DataFrame:
     """(x - mean) / std; a std of 0 divides by 1."""
     return df.withColumns({c: (name(c) - F.lit(means[c])) / F.lit(stds[c] or 1.0) for c in means})

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetprep.cluster import local_table
+from fleetprep.cluster import stage
 from fleetprep.functions.text import is_code_like, is_digits, name, strip
 from fleetprep.functions.values import percent
 from fleetprep.operators.quantiles import quantiles
@@ -101,15 +101,15 @@ def value_frequencies(df: DataFrame, columns: Sequence[str], max_distinct: int)
 def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(rows, duplicated, duplicated_pct): rows beyond the first of each group of equal rows; missing equals missing.
 
-    Row hashes are counted first. While few of them repeat, only the rows behind those are compared in full, without
-    moving the rest; otherwise all rows are, copies being combined before the shuffle.
+    Row hashes are counted first; only rows whose hash repeats are compared in full, copies being combined before the shuffle.
     """
     columns = list(columns or df.columns)
     flat = df.select(*[name(c) for c in columns]).withColumn("_h", F.xxhash64(*[name(c) for c in columns]))
-    repeated = local_table(flat.groupBy("_h").agg(F.count("*").alias("_n")).where("_n > 1").select("_h"))
-    suspects = flat if repeated is None else flat.join(F.broadcast(repeated), "_h", "left_semi")
+    counted = stage(flat.groupBy("_h").agg(F.count("*").alias("_n")))
+    suspects = flat.join(counted.where("_n > 1").select("_h"), "_h", "left_semi")
     copies = suspects.groupBy("_h", *[name(c) for c in columns]).agg((F.count("*") - 1).alias("_extra"))
-    both = df.agg(F.count("*").alias("rows"), F.lit(0).cast("bigint").alias("duplicated")).unionByName(
+    rows = F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")
+    both = counted.agg(rows, F.lit(0).cast("bigint").alias("duplicated")).unionByName(
         copies.agg(F.lit(0).cast("bigint").alias("rows"), F.coalesce(F.sum("_extra"), F.lit(0)).alias("duplicated"))
     ).agg(F.sum("rows").alias("rows"), F.sum("duplicated").alias("duplicated"))
     return both.withColumn("duplicated_pct", percent(F.col("duplicated"), F.col("rows")))

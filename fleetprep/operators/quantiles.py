@@ -1,131 +1,66 @@
-"""Exact interpolated quantiles whose memory does not grow with the table."""
+"""Exact interpolated quantiles by counting, for any number of rows, distinct values and groups."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetprep.cluster import stage
 from fleetprep.functions.text import name
 
-# the built-in percentile keeps one counter per distinct value and group, so it is used up to this many distinct values
-MAX_DISTINCT = 500_000
-COARSE, FINE = 32, 32
 
-
-def quantiles(
-    df: DataFrame,
-    values: Mapping[str, Column],
-    probabilities: Sequence[float],
-    by: Sequence[str] = (),
-    max_distinct: int | None = None,
-) -> DataFrame:
+def quantiles(df: DataFrame, values: Mapping[str, Column], probabilities: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """(by..., variable, q0, q1, ...): linearly interpolated quantiles of each value column, missing values left out.
 
-    Columns with few distinct values are answered by the built-in percentile. For the others the values are counted,
-    the counts are cut into ranges of about equal size, and only the ranges that hold a wanted position are put in order.
-    A group without values gets missing quantiles.
+    Values are counted with map-side combine. The counts - one row per group and different value - are dealt out in value order, which
+    splits a group over as many pieces as its size asks for, and staged. The wanted positions are found among the pieces' totals; only the
+    pieces that hold one are put in order. A group without values gets missing quantiles.
     """
-    max_distinct = MAX_DISTINCT if max_distinct is None else max_distinct
-    flat = df.select(*[name(b) for b in by], *[c.cast("double").alias(f"v{i}") for i, c in enumerate(values.values())])
-    estimate = flat.agg(*[F.approx_count_distinct(f"v{i}").alias(f"v{i}") for i in range(len(values))]).first()
-    small = [i for i in range(len(values)) if estimate[i] <= max_distinct]
-    large = [i for i in range(len(values)) if estimate[i] > max_distinct]
-    names = list(values)
-    parts = []
-    if small:
-        grouped = flat.groupBy(*by).agg(
-            *[F.percentile(f"v{i}", [float(p) for p in probabilities]).alias(f"q{i}") for i in small]
-        )
-        parts.append(grouped.select(*[name(b) for b in by], F.inline(F.array(*[
-            F.struct(
-                F.lit(names[i]).alias("variable"),
-                *[F.element_at(f"q{i}", j + 1).alias(f"q{j}") for j in range(len(probabilities))],
-            )
-            for i in small
-        ]))))
-    if large:
-        parts.append(_by_counting(flat, {i: names[i] for i in large}, probabilities, by))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _by_counting(flat: DataFrame, columns: Mapping[int, str], probabilities: Sequence[float], by: Sequence[str]) -> DataFrame:
     group = [*by, "variable"]
-    long = flat.select(*[name(b) for b in by], F.inline(F.array(*[
-        F.struct(F.lit(label).alias("variable"), F.col(f"v{i}").alias("value")) for i, label in columns.items()
+    keys = [name(g) for g in group]
+    long = df.select(*[name(b) for b in by], F.inline(F.array(*[
+        F.struct(F.lit(label).alias("variable"), c.cast("double").alias("value")) for label, c in values.items()
     ])))
-    counts = long.where("value is not null").groupBy(*group, "value").agg(F.count("*").alias("n"))
-    counts = counts.withColumn("bucket", _bucket(flat, columns))
-
-    # rows before each bucket of a group: at most COARSE * FINE buckets per group are put in order
-    totals = counts.groupBy(*group, "bucket").agg(F.sum("n").alias("bucket_n"))
-    upto = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = totals.withColumn("before", F.sum("bucket_n").over(upto) - F.col("bucket_n"))
-    totals = totals.withColumn("total", F.sum("bucket_n").over(Window.partitionBy(*group)))
-
+    counts = long.groupBy(*keys, "value").agg(F.count("*").alias("n"))
+    counts = stage(counts.repartitionByRange(*keys, "value").withColumn("piece", F.spark_partition_id()))
+    filled = counts.where("value is not null")
+
+    pieces = filled.groupBy(*keys, "piece").agg(F.sum("n").alias("piece_n"), F.min("value").alias("least"))
+    upto = Window.partitionBy(*keys).orderBy("least").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pieces = pieces.withColumn("before", F.sum("piece_n").over(upto) - F.col("piece_n"))
+    pieces = pieces.withColumn("total", F.sum("piece_n").over(Window.partitionBy(*keys)))
     wanted = []
     for j, p in enumerate(probabilities):
         at = F.lit(float(p)) * (F.col("total") - 1)
         wanted += [F.struct(F.lit(j).alias("j"), e.alias("rank"), at.alias("at")) for e in (F.floor(at), F.ceil(at))]
-    targets = totals.withColumn("targets", F.filter(
+    targets = pieces.withColumn("targets", F.filter(
         F.array(*wanted),
-        lambda t: (t["rank"] >= F.col("before")) & (t["rank"] < F.col("before") + F.col("bucket_n")),
+        lambda t: (t["rank"] >= F.col("before")) & (t["rank"] < F.col("before") + F.col("piece_n")),
     )).where(F.size("targets") > 0)
-    key = [*group, "bucket"]
+    key = [*group, "piece"]
     targets = targets.select(*[name(g).alias(f"t{k}") for k, g in enumerate(key)], "before", "targets")
 
-    run = Window.partitionBy(*key).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = Window.partitionBy(*[name(g) for g in key]).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = (
-        counts.join(targets, [name(g).eqNullSafe(F.col(f"t{k}")) for k, g in enumerate(key)], "inner")
+        filled.join(targets, [name(g).eqNullSafe(F.col(f"t{k}")) for k, g in enumerate(key)], "inner")
         .withColumn("last", F.sum("n").over(run) + F.col("before"))
         .withColumn("hit", F.explode(F.filter(
             "targets", lambda t: (t["rank"] >= F.col("last") - F.col("n")) & (t["rank"] < F.col("last"))
         )))
-        .groupBy(*group, F.col("hit.j").alias("j"), F.col("hit.at").alias("at"))
+        .groupBy(*keys, F.col("hit.j").alias("j"), F.col("hit.at").alias("at"))
         .agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     )
     share = F.col("at") - F.floor("at")
     value = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise((1 - share) * F.col("lo") + share * F.col("hi"))
-    picked = found.groupBy(*group).agg(
-        *[F.max(F.when(F.col("j") == j, value)).alias(f"q{j}") for j in range(len(probabilities))]
-    )
-    # groups that have rows but no value
-    present = flat.select(*[name(b) for b in by], F.explode(F.array(*[F.lit(v) for v in columns.values()])).alias("variable"))
-    return (
-        picked.unionByName(present.distinct(), allowMissingColumns=True)
-        .groupBy(*group).agg(*[F.max(f"q{j}").alias(f"q{j}") for j in range(len(probabilities))])
-    )
-
-
-def _bucket(flat: DataFrame, columns: Mapping[int, str]) -> Column:
-    """Bucket number by near-equal-frequency edges per column; any edges give exact results, good ones even work."""
-    steps = [k / (COARSE * FINE) for k in range(1, COARSE * FINE)]
-    edges = flat.agg(*[F.percentile_approx(f"v{i}", steps, 20_000).alias(f"v{i}") for i in columns]).first()
-    out = F.when(F.lit(False), F.lit(0))
-    for i, label in columns.items():
-        cuts = sorted({float(e) for e in edges[f"v{i}"] or [] if not math.isnan(e)})
-        out = out.when(F.col("variable") == label, _position(cuts))
-    return out
-
-
-def _position(cuts: list[float]) -> Column:
-    """Number of cuts below the value, looked up in two steps."""
-    if not cuts:
-        return F.lit(0)
-    blocks = [cuts[k:k + FINE] for k in range(0, len(cuts), FINE)]
-
-    def below(values: Column) -> Column:
-        return F.size(F.filter(values, lambda e: e < F.col("value")))
-
-    heads = F.lit([b[0] for b in blocks])
-    block = below(heads)
-    inner = F.element_at(F.array(*[F.lit(b) for b in blocks]), block)
-    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * FINE + below(inner))
+    # groups that have rows but no value, and whole columns even without rows
+    present = counts.select(*keys).distinct()
+    if not by:
+        present = df.sparkSession.createDataFrame([(label,) for label in values], "variable string")
+    missing = present.withColumn("j", F.lit(-1)).withColumn("value", F.lit(None).cast("double"))
+    picked = found.select(*keys, "j", value.alias("value")).unionByName(missing)
+    return picked.groupBy(*keys).agg(*[F.max(F.when(F.col("j") == j, F.col("value"))).alias(f"q{j}") for j in range(len(probabilities))])
 
 
 def scalars(df: DataFrame, values: Mapping[str, Column], probabilities: Sequence[float]) -> dict[str, list[float]]:

@@ -1,43 +1,23 @@
 """Exact positions in a total order, found by counting instead of sorting the table.
 
-A position of interest (the 20 % row of a hash order, the end of a fold) is narrowed down by histograms of a whole-number
-order column. Each pass aggregates one column and returns a bounded number of counts; what comes out is the key at that
-position, so that the split itself becomes a comparison in a projection and no row has to move. 10^12 rows need two
-histograms and one look at the few thousand rows that are left.
+A position of interest (the 20 % row of a hash order, the end of a fold) is narrowed down by histograms over the leading bits of a
+whole-number order column, 14 bits a pass. Rows are only counted; counts, positions and ranges stay tables, so there may be any
+number of strata, and the driver sees two numbers a pass. What comes out is the row at each position, so that a split becomes a
+comparison and no row has to move. 10^12 rows with spread-out numbers need two histograms and one look at the few thousand rows that are left.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 16_384  # counts per pass and range
-STRATUM_BINS = 2_048  # counts per pass and range when there are strata
-MAX_STRATA = 100
-LEAF_ROWS = 16_384  # rows that may be listed to read off a position
+from fleetprep.cluster import stage
 
-Positions = Callable[[Mapping[object, int]], Mapping[object, Sequence[int]]]
-
-
-@dataclass(frozen=True)
-class Mark:
-    """The row at one position: its order number and its tie-break value."""
-
-    order: int
-    tie: object
-
-
-@dataclass(frozen=True)
-class _Range:
-    stratum: object
-    lo: int
-    hi: int
-    skipped: int = 0  # rows of the stratum below lo
-    rows: int = 0
+STEP_BITS = 14  # 16 384 counts per range and pass
+LEAF_ROWS = 16_384  # rows that may be put in order to read off a position
+SIGN = -(2**63)
 
 
 def bounds(df: DataFrame, order: Column) -> tuple[int, int] | None:
@@ -46,108 +26,56 @@ def bounds(df: DataFrame, order: Column) -> tuple[int, int] | None:
     return None if row.lo is None else (row.lo, row.hi)
 
 
+def stratum_key(stratum: Column | None) -> Column:
+    """Text that names a stratum; missing values are a stratum of their own, before all others."""
+    return F.lit("") if stratum is None else F.coalesce(F.concat(F.lit("="), stratum.cast("string")), F.lit(""))
+
+
+def _leading(shift: int) -> Column:
+    """The order number without its last bits, the sign turned so that it sorts like the number."""
+    return F.shiftrightunsigned(F.col("x").bitwiseXOR(F.lit(SIGN)), shift) if shift else F.col("x").bitwiseXOR(F.lit(SIGN))
+
+
 def marks_at(
     df: DataFrame,
     order: Column,
     tie: Column,
     lo: int,
     hi: int,
-    positions: Positions,
+    positions: Callable[[DataFrame], DataFrame],
     stratum: Column | None = None,
-) -> tuple[dict[object, int], dict[tuple[object, int], Mark]]:
-    """(rows per stratum, mark per (stratum, position)).
+) -> DataFrame:
+    """(s, p, x, t, upto): the row at position p of each stratum s, and how many rows come no later than it.
 
-    order is a whole-number column between lo and hi; ties are ordered by tie. positions gets the rows per stratum, which
-    the first histogram has counted along the way, and names the wanted positions, 1 for the first row. Rows with a missing
-    order or stratum do not take part. Copies of one key share their place, so the key should be unique for the sizes to
-    come out exactly.
+    order is a whole-number column between lo and hi, without missing values; ties are ordered by tie. positions gets the
+    rows per stratum (s, n), which the first histogram has counted along the way, and names the wanted positions (s, p), 1 for the first row.
+    upto exceeds p where copies of one key share the place. Positions outside 1..n are an error.
     """
-    bins = BINS if stratum is None else STRATUM_BINS
-    stratum = F.lit(0) if stratum is None else stratum
-    base = df.select(stratum.alias("s"), order.alias("x"), tie.alias("t")).where("s is not null and x is not null")
-
-    everything = _Range(None, lo, hi)
-    width = _width(everything, bins)
-    first = (
-        base.groupBy("s", F.expr(f"(x - {lo}L) div {width}L").alias("b")).agg(F.count("*").alias("n"))
-        .limit(bins * MAX_STRATA + 1).collect()
-    )
-    if len(first) > bins * MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata; stratify by a column with fewer values")
-    counts: dict[object, list[tuple[int, int]]] = {}
-    for row in first:
-        counts.setdefault(row.s, []).append((row.b, row.n))
-    sizes = {s: sum(n for _, n in c) for s, c in counts.items()}
-
-    at: dict[tuple[object, int], _Range] = {}
-    for s, wanted in positions(sizes).items():
-        for p in wanted:
-            if not 1 <= p <= sizes.get(s, 0):
-                raise ValueError(f"position {p} is outside 1..{sizes.get(s, 0)}")
-            at[(s, p)] = _narrow(_Range(s, lo, hi, 0, sizes[s]), p, sorted(counts[s]), width)
-
-    while wide := sorted({r for r in at.values() if r.rows > LEAF_ROWS and r.hi > r.lo}, key=repr):
-        found = _histograms(base, wide, bins)
-        at = {
-            (s, p): _narrow(r, p, found[r], _width(r, bins)) if r in found else r for (s, p), r in at.items()
-        }
-    return sizes, _read_off(base, at)
-
-
-def _width(r: _Range, bins: int) -> int:
-    return (r.hi - r.lo) // bins + 1
-
-
-def _narrow(r: _Range, position: int, counts: Sequence[tuple[int, int]], width: int) -> _Range:
-    """The bin of the range that holds the position."""
-    before = r.skipped
-    for b, n in counts:
-        if before + n >= position:
-            lo = r.lo + b * width
-            return _Range(r.stratum, lo, min(lo + width - 1, r.hi), before, n)
-        before += n
-    raise AssertionError("a position lies within the counted rows")
-
-
-def _which(ranges: Sequence[_Range]) -> Column:
-    def inside(r: _Range) -> Column:
-        return (F.col("s") == F.lit(r.stratum)) & F.col("x").between(r.lo, r.hi)
-
-    return reduce(lambda out, ir: out.when(inside(ir[1]), F.lit(ir[0])), enumerate(ranges), F.when(F.lit(False), F.lit(0)))
-
-
-def _histograms(base: DataFrame, ranges: Sequence[_Range], bins: int) -> dict[_Range, list[tuple[int, int]]]:
-    b = F.when(F.lit(False), F.lit(0).cast("bigint"))
-    for i, r in enumerate(ranges):
-        b = b.when(F.col("i") == i, F.expr(f"(x - {r.lo}L) div {_width(r, bins)}L"))
-    rows = (
-        base.withColumn("i", _which(ranges)).where("i is not null").groupBy("i", b.alias("b")).agg(F.count("*").alias("n")).collect()
-    )
-    out: dict[_Range, list[tuple[int, int]]] = {r: [] for r in ranges}
-    for row in rows:
-        out[ranges[row.i]].append((row.b, row.n))
-    return {r: sorted(c) for r, c in out.items()}
-
-
-def _read_off(base: DataFrame, at: Mapping[tuple[object, int], _Range]) -> dict[tuple[object, int], Mark]:
-    leaves = sorted(set(at.values()), key=repr)
-    if not leaves:
-        return {}
-    members = base.withColumn("i", _which(leaves)).where("i is not null")
-    small = [i for i, r in enumerate(leaves) if r.rows <= LEAF_ROWS]
-    lists: dict[int, list[Mark]] = {i: [] for i in small}
-    if small:
-        for row in members.where(F.col("i").isin(small)).select("i", "x", "t").collect():
-            lists[row.i].append(Mark(row.x, row.t))
-    out = {}
-    for (s, p), r in at.items():
-        i = leaves.index(r)
-        if i in lists:
-            out[(s, p)] = sorted(lists[i], key=lambda m: (m.order, m.tie))[p - r.skipped - 1]
-            continue
-        # more rows than a leaf holds share one order number: only copies of one key can do that
-        row = members.where(F.col("i") == i).agg(F.min("x").alias("x"), F.min("t").alias("lo"), F.max("t").alias("hi")).first()
-        if row.lo != row.hi:
-            raise ValueError("too many different keys share one order number; use a key-unique order")
-        out[(s, p)] = Mark(row.x, row.lo)
-    return out
+    rows = df.select(stratum_key(stratum).alias("s"), order.cast("bigint").alias("x"), tie.alias("t"))
+    shift = max((lo ^ hi).bit_length() - STEP_BITS, 0) if (lo < 0) == (hi < 0) else 64 - STEP_BITS
+    counts = stage(rows.groupBy("s", _leading(shift).alias("b")).agg(F.count("*").alias("n")))
+    sizes = counts.groupBy("s").agg(F.sum("n").alias("n"))
+    wanted = stage(positions(sizes).select("s", F.col("p").cast("bigint").alias("p")).distinct())
+    wrong = wanted.join(sizes, "s", "left").where("p < 1 OR n IS NULL OR p > n").first()
+    if wrong:
+        raise ValueError(f"position {wrong.p} is outside 1..{wrong.n or 0}")
+
+    leaves = stage(_holding(counts, wanted.withColumn("before", F.lit(0).cast("bigint")), ["s"]))
+    while shift and (leaves.agg(F.max("n")).first()[0] or 0) > LEAF_ROWS:
+        finer = max(shift - STEP_BITS, 0)
+        inside = rows.withColumn("leaf", _leading(shift)).join(leaves.select("s", F.col("b").alias("leaf")).distinct(), ["s", "leaf"], "left_semi")
+        counts = inside.groupBy("s", "leaf", _leading(finer).alias("b")).agg(F.count("*").alias("n"))
+        leaves = stage(_holding(counts, leaves.select("s", F.col("b").alias("leaf"), "p", "before"), ["s", "leaf"]).drop("leaf"))
+        shift = finer
+    inside = rows.withColumn("leaf", _leading(shift)).join(leaves.select("s", F.col("b").alias("leaf")).distinct(), ["s", "leaf"], "left_semi")
+    counts = inside.groupBy("s", "leaf", F.struct("x", "t").alias("b")).agg(F.count("*").alias("n"))
+    found = _holding(counts, leaves.select("s", F.col("b").alias("leaf"), "p", "before"), ["s", "leaf"])
+    return stage(found.select("s", "p", F.col("b.x").alias("x"), F.col("b.t").alias("t"), (F.col("before") + F.col("n")).alias("upto")))
+
+
+def _holding(counts: DataFrame, wanted: DataFrame, by: list[str]) -> DataFrame:
+    """wanted (by..., p, before) with the b of counts (by..., b, n) that holds p; before becomes the rows ahead of that b."""
+    upto = Window.partitionBy(*by).orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumn("last", F.sum("n").over(upto))
+    both = counts.join(wanted, by).withColumn("last", F.col("last") + F.col("before"))
+    return both.where("p > last - n AND p <= last").withColumn("before", F.col("last") - F.col("n")).drop("last")

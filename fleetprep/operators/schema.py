@@ -13,8 +13,6 @@ from fleetprep.functions.text import name
 from fleetprep.functions.values import DATE_FORMATS, nan_to_null, parse_timestamp
 from fleetprep.operators.shape import kind_of, missing_count, type_names, wide_to_long
 
-PROBE_ROWS = 1000
-
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
     missing = sorted(set(columns) - set(df.columns))
@@ -28,18 +26,10 @@ def require_unique_names(df: DataFrame) -> None:
         raise ValueError("repeated column names: " + ", ".join(repeated))
 
 
-def _probe(df: DataFrame) -> dict[str, set]:
-    """Values seen in some first rows, per column. They can only prove that a column is not empty or not constant."""
-    rows = df.limit(PROBE_ROWS).collect()
-    same = lambda v: "nan" if isinstance(v, float) and v != v else v
-    return {c: {same(row[i]) for row in rows} for i, c in enumerate(df.columns)}
-
-
 def empty_columns(df: DataFrame) -> list[str]:
-    """Columns without any value: one pass over the columns that a look at some first rows leaves open."""
-    suspects = [c for c, seen in _probe(df).items() if seen <= {None}]
-    filled = one_row(df, {f"c{i}": F.count(name(c)) for i, c in enumerate(suspects)})
-    return [c for i, c in enumerate(suspects) if not filled[f"c{i}"]]
+    """Columns without any value, in one pass."""
+    filled = one_row(df, {f"c{i}": F.count(name(c)) for i, c in enumerate(df.columns)})
+    return [c for i, c in enumerate(df.columns) if not filled[f"c{i}"]]
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:
@@ -68,10 +58,9 @@ def is_constant(column: str) -> Column:
 
 
 def constant_columns(df: DataFrame) -> list[str]:
-    """Constant columns, without counting distinct values: one pass over those that some first rows leave open."""
-    suspects = [c for c, seen in _probe(df).items() if len(seen) <= 1]
-    found = one_row(df, {f"c{i}": is_constant(c) for i, c in enumerate(suspects)})
-    return [c for i, c in enumerate(suspects) if found[f"c{i}"]]
+    """Constant columns in one pass of smallest, largest and count, without counting distinct values."""
+    found = one_row(df, {f"c{i}": is_constant(c) for i, c in enumerate(df.columns)})
+    return [c for i, c in enumerate(df.columns) if found[f"c{i}"]]
 
 
 def drop_constant_columns(df: DataFrame, protected: Sequence[str] = (), drop: bool = True) -> tuple[DataFrame, list[str]]:
@@ -117,33 +106,19 @@ def column_kinds(df: DataFrame) -> DataFrame:
     return report.withColumn("kind", F.element_at(table, F.col("variable")))
 
 
-def variable_registry(
-    df: DataFrame, target: str, identifiers: Sequence[str], high_cardinality: Sequence[str]
-) -> DataFrame:
-    """(variable, dtype, role, decision, rationale, missing) by the first rule that fits."""
-    report = wide_to_long(df, df.columns, {
-        "missing": missing_count,
-        "constant": is_constant,
-    })
-    v = F.col("variable")
-    rules = [
-        (v == target, "target", "keep", "Target of the regression."),
-        (v.isin(list(identifiers)), "technical_identifier", "keep_for_traceability",
-         "Identifier kept for traceability; not an explanatory variable."),
-        (F.col("constant"), "potential_constant", "confirm_on_full_dataset",
-         "Constant in the rows seen; to be confirmed on the full data."),
-        (v.isin(list(high_cardinality)), "high_cardinality_feature", "keep_for_feature_engineering",
-         "Kept after cleaning; use to be reviewed in feature engineering."),
-    ]
-    other = ("business_feature", "keep", "Business variable kept after the cleaning checks.")
-    for k, column in enumerate(["role", "decision", "rationale"]):
-        out = F.when(F.lit(False), F.lit(""))
-        for test, *texts in rules:
-            out = out.when(test, F.lit(texts[k]))
-        report = report.withColumn(column, out.otherwise(F.lit(other[k])))
-    types = type_names(df)
-    table = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
-    return report.withColumn("dtype", F.element_at(table, v)).drop("constant")
+def variable_registry(df: DataFrame, rules: Sequence[tuple[Column, str, str, str]], otherwise: tuple[str, str, str]) -> DataFrame:
+    """(variable, dtype, role, decision, rationale, missing).
+
+    rules is a table of (condition, role, decision, rationale); a condition may use the columns variable, missing and constant. Each
+    variable gets the entries of its first rule that holds, or those of otherwise.
+    """
+    report = wide_to_long(df, df.columns, {"missing": missing_count, "constant": is_constant})
+    entry = lambda texts: F.struct(*[F.lit(t).alias(k) for k, t in zip(("role", "decision", "rationale"), texts)])
+    found = F.coalesce(*[F.when(condition, entry(texts)) for condition, *texts in rules], entry(otherwise))
+    dtypes = F.create_map(*[F.lit(x) for pair in type_names(df).items() for x in pair])
+    return report.withColumn("entry", found).select(
+        "variable", "missing", "entry.*", F.element_at(dtypes, F.col("variable")).alias("dtype")
+    )
 
 
 def nan_free(df: DataFrame) -> DataFrame:

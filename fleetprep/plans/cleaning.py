@@ -26,7 +26,7 @@ class Cleaned:
 def clean(df: DataFrame, drop_constant: bool = True) -> Cleaned:
     """Not-a-number, empty columns, names, dates, text and codes, makes, aliases, constant columns, rows without target.
 
-    Three small aggregations decide the schema and the lookups (empty columns, makes, constant columns); what is
+    Three aggregations decide the schema and the lookups (empty columns, counts of makes, constant columns); what is
     returned is one lazy projection and two lookup joins over the source.
     """
     named = normalize_column_names(drop_empty_columns(nan_free(df)), K.SOURCE_NAMES)

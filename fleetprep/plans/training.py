@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetprep import contracts as K
-from fleetprep.cluster import settle, stage
+from fleetprep.cluster import stage
 from fleetprep.functions.text import name
 from fleetprep.operators import models as M
 from fleetprep.operators.checks import enforce, training_checks
 from fleetprep.operators.discretize import emission_class
 from fleetprep.operators.metrics import class_report, classification_metrics, confusion_counts, confusion_matrix, with_gaps
 from fleetprep.operators.search import best_params, macro_f1_score, mae_score, random_search
-from fleetprep.operators.split import development_sample, k_folds, stratified_folds, stratified_sample, stratified_split
+from fleetprep.operators.split import development_sample, k_folds, sample_rows, stratified_folds, stratified_sample, stratified_split
 from fleetprep.sources.artifacts import load_json, model_checks, save_json, save_model
 from fleetprep.sources.tables import load_split
 
@@ -46,13 +46,13 @@ def vectors(df: DataFrame, classes: bool, keep: Sequence[str] = (K.KEY, K.PART))
 
 # ---- comparing models on the development rows ----
 
-def development(prepared: DataFrame, rows: int = K.DEV_ROWS, classes: bool = False) -> DataFrame:
-    """A sample of the training rows, split into train and validation; class shares are kept when classes are learned."""
+def development(prepared: DataFrame, rows: int | None = None, classes: bool = False) -> DataFrame:
+    """The training rows, or a sample of them, split into train and validation; class shares are kept when classes are learned."""
     train = prepared.where(name(K.PART) == "train").drop(K.PART)
     if not classes:
         return development_sample(train, K.KEY, rows, K.TEST_SHARE, K.SEED, K.PART)
     labelled = with_classes(train)
-    sample = stratified_sample(labelled, K.KEY, K.CLASS, rows, f"{K.SEED}|sample")
+    sample = labelled if rows is None else stratified_sample(labelled, K.KEY, K.CLASS, rows, f"{K.SEED}|sample")
     split = stratified_split(sample, K.KEY, K.CLASS, K.TEST_SHARE, f"{K.SEED}|validation", K.PART)
     return split.withColumn(K.PART, F.when(name(K.PART) == "test", "validation").otherwise("train")).drop(K.CLASS, CLASS_INDEX)
 
@@ -81,7 +81,7 @@ def search(
     return random_search(folded, "fold", folds, build, candidates, macro_f1_score if classes else mae_score)
 
 
-def final_regression(prepared: DataFrame, estimator: Estimator, rows: int = K.DEV_ROWS) -> DataFrame:
+def final_regression(prepared: DataFrame, estimator: Estimator, rows: int | None = None) -> DataFrame:
     """Refit on all development rows, then one use of the test rows: (part, rows, mae, rmse, r2)."""
     dev = development(prepared, rows).drop(K.PART)
     model, _ = M.fit_timed(estimator, vectors(dev, classes=False, keep=[K.KEY]))
@@ -101,7 +101,7 @@ def regression_study(
     prepared: DataFrame,
     spaces: Mapping[str, tuple[Callable[[dict, int], Estimator], Sequence[dict]]],
     folds: int = K.REGRESSION_FOLDS,
-    rows: int = K.DEV_ROWS,
+    rows: int | None = None,
 ) -> RegressionStudy:
     """Search every model's candidates, compare the best ones on the validation rows, refit the one with the lowest RMSE
     on all development rows and score it once on the test rows. spaces maps a name to (build(params, seed), candidates)."""
@@ -122,15 +122,15 @@ class ClassTest:
     confusion: DataFrame
 
 
-def final_classification(prepared: DataFrame, estimator: Estimator, rows: int = K.DEV_ROWS) -> ClassTest:
+def final_classification(prepared: DataFrame, estimator: Estimator, rows: int | None = None) -> ClassTest:
     """The model of the development train rows, without a refit, on the test rows: measures, per class, confusion."""
     dev = vectors(development(prepared, rows, classes=True), classes=True)
     model, _ = M.fit_timed(estimator, dev.where(name(K.PART) == "train"))
     test = vectors(prepared.where(name(K.PART) == "test"), classes=True)
     predicted = M.class_label(model.transform(test), M.PREDICTION, K.CLASS_LABELS, "predicted_class")
     # at most one row per pair of classes, so the three reports share one pass over the test rows
-    counts = settle(confusion_counts(predicted, K.CLASS, "predicted_class")).rows
-    per_class = class_report(counts)
+    counts = stage(confusion_counts(predicted, K.CLASS, "predicted_class"))
+    per_class = class_report(counts, K.CLASS_LABELS)
     return ClassTest(classification_metrics(per_class), per_class, confusion_matrix(counts, K.CLASS_LABELS))
 
 
@@ -157,7 +157,7 @@ def train_job(
         labelled = with_classes(train)
         train = stratified_sample(labelled, K.KEY, K.CLASS, sample, K.SEED).drop(K.CLASS, CLASS_INDEX)
     elif sample is not None:
-        train = train.orderBy(name(K.KEY)).limit(sample)
+        train = sample_rows(train, K.KEY, sample, K.SEED)
     build = M.forest_classifier if classes else M.forest_regressor
     model, seconds = M.fit_timed(build(params, K.SEED), vectors(train, classes))
     test = vectors(table.where(name(K.PART) == "test"), classes)

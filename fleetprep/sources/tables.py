@@ -65,11 +65,13 @@ def scan_features(spark: SparkSession, path: str, rows: int | None = None, key:
 
 
 def scan_parquet(spark: SparkSession, path: str, rows: int | None = None) -> DataFrame:
-    """All rows or any first ones; a table without rows is an error."""
+    """All rows, or the first ones in the order of file names and places in the files; a table without rows is an error."""
     table = spark.read.parquet(path)
     if table.isEmpty():
         raise ValueError(f"no rows in {path}")
-    return table if rows is None else table.limit(rows)
+    if rows is None:
+        return table
+    return table.orderBy(F.col("_metadata.file_path"), F.col("_metadata.row_index")).limit(rows)
 
 
 def scan_target(spark: SparkSession, path: str, target: str, rows: int | None = None) -> DataFrame:

@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetprep import contracts as K
-from fleetprep.cluster import Settled, lookup_join, settle
 from fleetprep.operators import makes as M
 from fleetprep.operators import profile as A
 from fleetprep.operators import schema as S
@@ -104,19 +103,25 @@ def test_aliases(spark):
         M.apply_aliases(spark.range(1), K.MAKE, K.MAKE_ALIASES)
 
 
-def test_large_lookup_with_a_hot_key(spark):
-    """The same result whether the lookup is broadcast or joined by a shuffle with its hot keys apart."""
-    n = 3000
-    fact = spark.range(n).select("id", F.when(F.col("id") < n // 3, F.lit("hot")).when(F.col("id") % 10 == 0, F.lit(None)).otherwise(
-        F.concat(F.lit("k"), F.col("id") % 700)).alias("k"), (F.col("id") % 2).cast("string").alias("g"))
-    lookup = fact.where("k is not null and k <> 'k13'").groupBy("k", "g").agg(F.min("id").alias("v"))
-    expect = sorted(map(str, lookup_join(fact, settle(lookup), ["k", "g"]).select("id", "k", "g", "v").collect()))
-    large = settle(lookup, max_rows=10)
-    assert not large.small
-    got = lookup_join(fact, large, ["k", "g"], hot_share=5)
-    assert sorted(map(str, got.select("id", "k", "g", "v").collect())) == expect
-    assert len(expect) == n
-    assert isinstance(large, Settled)
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_lookups_by_shuffle_or_broadcast(spark, threshold):
+    """A brand that holds a third of the rows, missing makes and missing maker pairs, joined either way."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "Hot").when(F.col("id") % 10 == 0, F.lit(None)).when(F.col("id") % 7 == 0, "12").otherwise(F.concat(F.lit("k "), F.col("id") % 700)).alias(K.MAKE),
+        F.when(F.col("id") % 11 > 0, F.lit("m")).alias(K.MAKER_EU), F.lit("o").alias(K.MAKER_OEM),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        rows, report = M.normalize_make(df, K.MAKE, K.MAKER_EU, K.MAKER_OEM, 0.3)
+        counts = {r[0]: r[1] for r in rows.groupBy(K.MAKE).count().collect()}
+        report = report.first()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    numeric = [k for k in range(3000) if k % 3 and k % 10 and k % 7 == 0]
+    resolved = [k for k in numeric if k % 11]
+    assert (report["numeric_before"], report["numeric_resolved"]) == (len(numeric), len(resolved))
+    assert sum(counts.values()) == 3000 and counts["Hot"] == 1000 + len(resolved)
+    assert counts[None] == len([k for k in range(3000) if k % 3 and k % 10 == 0]) + len(numeric) - len(resolved)
 
 
 def test_duplicates_treat_missing_as_equal(spark):
@@ -124,9 +129,8 @@ def test_duplicates_treat_missing_as_equal(spark):
     assert A.duplicate_rows(df).first().asDict() == {"rows": 5, "duplicated": 2, "duplicated_pct": 40.0}
 
 
-def test_duplicates_with_many_repeated_hashes(spark, monkeypatch):
+def test_duplicates_with_many_repeated_hashes(spark):
     df = spark.range(400).select((F.col("id") % 100).alias("a"), F.lit(None).cast("string").alias("b"))
-    monkeypatch.setattr(A, "local_table", lambda d: None)
     assert A.duplicate_rows(df).first()["duplicated"] == 300
 
 

@@ -21,59 +21,101 @@ from fleetprep.operators import split as S
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
 
 
-def quantile_rows(spark, rows, **kw):
+def quantile_rows(spark, rows):
     df = spark.createDataFrame(rows, "g string, x double, y double")
-    out = Q.quantiles(df, {"x": F.col("x"), "y": F.col("y")}, PROBS, by=["g"], **kw)
+    out = Q.quantiles(df, {"x": F.col("x"), "y": F.col("y")}, PROBS, by=["g"])
     return {(r.g, r.variable): [r[f"q{j}"] for j in range(len(PROBS))] for r in out.collect()}
 
 
-def test_counting_path_equals_numpy_and_percentile(spark):
+def test_quantiles_equal_numpy(spark):
     rng = random.Random(1)
     rows = [(rng.choice(["a", "b", None]), rng.choice([0.0, rng.gauss(0, 1e6), rng.random(), None]), float(rng.randint(0, 3))) for _ in range(4000)]
     rows += [("hot", 7.0, None)] * 2000 + [("one", 1.5, None)]
-    exact, counted = quantile_rows(spark, rows), quantile_rows(spark, rows, max_distinct=0)
-    assert exact.keys() == counted.keys()
+    counted = quantile_rows(spark, rows)
+    assert len(counted) == 10
     for key, values in counted.items():
         data = [r[1 if key[1] == "x" else 2] for r in rows if r[0] == key[0]]
         data = [v for v in data if v is not None]
         if not data:
-            assert values == [None] * len(PROBS) and exact[key] == values
+            assert values == [None] * len(PROBS)
             continue
         assert values == pytest.approx(np.quantile(data, PROBS).tolist(), rel=1e-12, abs=1e-12)
-        assert exact[key] == pytest.approx(values, rel=1e-12, abs=1e-12)
+
+
+def test_quantiles_of_many_different_values_in_one_group(spark):
+    """Two million different values, most of them within one narrow range of one group."""
+    df = spark.range(2_000_000).select(
+        F.when(F.col("id") % 1000 == 0, "small").otherwise("hot").alias("g"),
+        F.when(F.col("id") % 1000 == 0, F.col("id") * 1.0).otherwise(F.lit(1e9) + F.col("id") / 1e3).alias("x"),
+    )
+    out = Q.quantiles(df, {"x": F.col("x")}, [0.25, 0.5], by=["g"])
+    ids = np.arange(2_000_000)
+    hot, small = 1e9 + ids[ids % 1000 != 0] / 1e3, ids[ids % 1000 == 0] * 1.0
+    got = {r.g: [r.q0, r.q1] for r in out.collect()}
+    assert got["hot"] == pytest.approx(np.quantile(hot, [0.25, 0.5]).tolist(), rel=1e-12)
+    assert got["small"] == pytest.approx(np.quantile(small, [0.25, 0.5]).tolist(), rel=1e-12)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "SinglePartition" not in plan
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(values=st.lists(st.floats(-1e9, 1e9), min_size=1, max_size=40))
-def test_counting_path_on_any_values(spark, values):
+def test_quantiles_of_any_values(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = Q.quantiles(df, {"x": F.col("x")}, [0.3, 0.5], max_distinct=0).first()
+    got = Q.quantiles(df, {"x": F.col("x")}, [0.3, 0.5]).first()
     assert [got.q0, got.q1] == pytest.approx(np.quantile(values, [0.3, 0.5]).tolist(), rel=1e-9, abs=1e-9)
 
 
-@pytest.mark.parametrize("bins, leaf", [(16_384, 16_384), (4, 2), (3, 1)])
-def test_marks_after_any_number_of_passes(spark, monkeypatch, bins, leaf):
-    monkeypatch.setattr(R, "BINS", bins)
-    monkeypatch.setattr(R, "STRATUM_BINS", bins)
+def positions(*wanted):
+    return lambda sizes: sizes.select("s", F.explode(F.array(*[F.lit(p) for p in wanted])).alias("p"))
+
+
+@pytest.mark.parametrize("bits, leaf", [(14, 16_384), (4, 1)])
+def test_marks_after_any_number_of_passes(spark, monkeypatch, bits, leaf):
+    monkeypatch.setattr(R, "STEP_BITS", bits)
     monkeypatch.setattr(R, "LEAF_ROWS", leaf)
     rng = random.Random(3)
-    keys = rng.sample(range(-10**12, 10**12), 60)
-    df = spark.createDataFrame([(k, "ab"[k % 2]) for k in keys], "k bigint, s string")
-    wanted = [1, 2, 31, 60]
-    _, marks = R.marks_at(df, F.col("k"), F.col("k"), min(keys), max(keys), lambda n: {0: wanted})
-    assert [marks[(0, p)].order for p in wanted] == [sorted(keys)[p - 1] for p in wanted]
-    sizes, marks = R.marks_at(df, F.col("k"), F.col("k"), min(keys), max(keys), lambda n: {s: [m] for s, m in n.items()}, F.col("s"))
-    assert sum(sizes.values()) == 60
-    assert all(marks[(s, m)].order == max(k for k in keys if "ab"[k % 2] == s) for s, m in sizes.items())
+    keys = rng.sample(range(-500, 10**4), 60) if bits < 14 else [*{rng.randint(-9 * 10**18, 9 * 10**18) for _ in range(58)}, -(2**63), 2**63 - 1]
+    df = spark.createDataFrame([(k, ["a", "b", None][k % 3]) for k in keys], "k bigint, s string")
+    limits = R.bounds(df, F.col("k"))
+    marks = {m.p: m.x for m in R.marks_at(df, F.col("k"), F.col("k"), *limits, positions(1, 2, 31, 60)).collect()}
+    assert marks == {p: sorted(keys)[p - 1] for p in (1, 2, 31, 60)}
+    last = lambda sizes: sizes.select("s", F.col("n").alias("p"))
+    marks = R.marks_at(df, F.col("k"), F.col("k"), *limits, last, F.col("s")).collect()
+    groups = {"=a": 0, "=b": 1, "": 2}
+    assert {(m.s, m.p, m.x) for m in marks} == {(s, len(own), max(own)) for s, r in groups.items() for own in [[k for k in keys if k % 3 == r]]}
 
 
 def test_copies_of_one_key_share_their_place(spark, monkeypatch):
     monkeypatch.setattr(R, "LEAF_ROWS", 2)
     df = spark.createDataFrame([(5,)] * 10 + [(9,)], "k bigint")
-    _, marks = R.marks_at(df, F.col("k"), F.col("k"), 5, 9, lambda n: {0: [4, 11]})
-    assert (marks[(0, 4)].order, marks[(0, 11)].order) == (5, 9)
+    marks = {m.p: (m.x, m.upto) for m in R.marks_at(df, F.col("k"), F.col("k"), 5, 9, positions(4, 11)).collect()}
+    assert marks == {4: (5, 10), 11: (9, 11)}
     with pytest.raises(ValueError):
-        R.marks_at(df, F.col("k"), F.col("k"), 5, 9, lambda n: {0: [12]})
+        R.marks_at(df, F.col("k"), F.col("k"), 5, 9, positions(12))
+
+
+def test_sizes_are_exact_or_refused(spark):
+    """Missing and repeated keys, missing strata; sizes below, at and above the number of rows."""
+    keyed = spark.range(100).select(F.col("id").alias("k"), F.when(F.col("id") % 10 > 0, F.concat(F.lit("s"), F.col("id") % 3)).alias("c"))
+    for rows in (1, 89, 90, 99, 100, 101):
+        assert S.stratified_sample(keyed, "k", "c", rows, 1).count() == min(rows, 100)
+        assert S.sample_rows(keyed, "k", rows, 1).count() == min(rows, 100)
+    sizes = {(r.c, r.part): r["count"] for r in S.stratified_split(keyed, "k", "c", "0.20", 3).groupBy("c", "part").count().collect()}
+    assert sizes == {("s0", "test"): 6, ("s0", "train"): 24, ("s1", "test"): 6, ("s1", "train"): 24, ("s2", "test"): 6, ("s2", "train"): 24, (None, "test"): 2, (None, "train"): 8}
+    one_missing = keyed.withColumn("k", F.when(F.col("k") != 7, F.col("k")))
+    assert S.train_test_split(one_missing, "k", "0.20", 42).where("part = 'test'").count() == 20
+    assert S.k_folds(one_missing, "k", 3).groupBy("fold").count().orderBy("fold").collect() == [(0, 34), (1, 33), (2, 33)]
+    twice = spark.range(100).select((F.col("id") % 50).alias("k"))
+    with pytest.raises(ValueError, match="must be unique"):
+        S.train_test_split(twice, "k", "0.25", 42).count()
+    assert S.sample_rows(twice, "k", 100, 1).count() == 100
+
+
+def test_many_strata(spark):
+    df = spark.range(6000).select(F.col("id").alias("k"), (F.col("id") % 1500).cast("string").alias("c"))
+    folds = S.stratified_folds(df, "k", "c", 3, 1).groupBy("c").pivot("fold", [0, 1, 2]).count().distinct().collect()
+    assert {(r["0"], r["1"], r["2"]) for r in folds} == {(2, 1, 1)}
 
 
 @pytest.mark.parametrize("n", [0, 1, 4, 5, 11, 101])
@@ -103,8 +145,10 @@ def test_small_strata(spark):
     df = spark.createDataFrame(rows, "k bigint, c string")
     out = S.stratified_split(df, "k", "c", "0.20", 7).where("part = 'test'").groupBy("c").count().collect()
     assert sum(r["count"] for r in out) == 2
-    assert S.allocate({"a": 1, "b": 2, "c": 7}, 2) == {"a": 0, "b": 1, "c": 1}
-    assert S.allocate({"x": 5, "y": 5}, 5) == {"x": 3, "y": 2}
+    shares = lambda counts, rows: {r.s: r.p for r in S.allocate(spark.createDataFrame(list(counts.items()), "s string, n long"), rows).collect()}
+    assert shares({"a": 1, "b": 2, "c": 7}, 2) == {"a": 0, "b": 1, "c": 1}
+    assert shares({"x": 5, "y": 5}, 5) == {"x": 3, "y": 2}
+    assert shares({"a": 10**12, "b": 10**12}, 10**12 + 1) == {"a": 5 * 10**11 + 1, "b": 5 * 10**11}
     assert S.stratified_sample(df, "k", "c", 5, 7).count() == 5
     assert S.stratified_sample(df, "k", "c", 50, 7).count() == 10
 
@@ -173,6 +217,19 @@ def test_labels_never_true(spark):
     assert matrix["a"].a == 50.0 and matrix["z"].z == 0.0
 
 
+def test_label_sets(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "b"), ("b", "b")], "t string, p string")
+    counts = E.confusion_counts(df, "t", "p")
+    rows = {r.label: r for r in E.class_report(counts, ["a", "b", "never"]).collect()}
+    assert set(rows) == {"a", "b", "never"} and rows["never"].f1 == 0 and rows["a"].recall == 0.5
+    grouped = E.class_report(counts.withColumn("g", F.lit(1)), ["a", "b", "never"], by=["g"])
+    assert grouped.count() == 3 and E.classification_metrics(grouped, ["g"]).first().macro_f1 == pytest.approx((2 / 3 + 2 / 3 + 0) / 3)
+    with pytest.raises(Exception, match="not a known label"):
+        E.class_report(counts, ["a"]).collect()
+    with pytest.raises(Exception, match="not a known label"):
+        E.class_report(E.confusion_counts(spark.createDataFrame([("a", None)], "t string, p string"), "t", "p"), ["a"]).collect()
+
+
 def test_regression_measures(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0), (5.0, 2.0)], "y double, p double")
     got = E.regression_metrics(df, "y", "p").first()

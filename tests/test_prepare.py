@@ -70,10 +70,13 @@ def test_uncovered_numeric_column_gets_its_median(spark):
     assert P.imputed(df, p, RULES).where(f"{K.KEY} = 7").first().extra == 3.0
 
 
-def test_too_many_categories(spark, monkeypatch):
-    monkeypatch.setattr(P, "MAX_CATEGORIES", 1)
-    with pytest.raises(ValueError, match="categories"):
-        P.fit(table(spark), RULES)
+def test_wide_categories_become_sparse_vectors(spark):
+    """Twenty thousand categories: one vector column, unknown and missing values in one place of their own."""
+    train = spark.range(40_000).select((F.col("id") % 20_000).cast("string").alias("c"))
+    model = P.fit_wide(train, ["c"])
+    rows = P.encode_wide(spark.createDataFrame([("7",), ("new",), (None,)], "c string"), model, ["c"]).collect()
+    seven, new, missing = (r.c_vector for r in rows)
+    assert seven.size >= 20_000 and seven.numNonzeros() == 1 and new == missing != seven
 
 
 def test_incomplete_rows_are_refused(spark):
