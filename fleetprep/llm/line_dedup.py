@@ -2,8 +2,8 @@
 
 Each text is cut into units (lines, or paragraphs parted by blank lines). Units are normalised (A-Z to a-z, runs of white space
 to one blank) and digested; digests are grouped over all documents; of equal units the earliest by (doc_id, place) stays and
-every other one is removed. Offsets are characters of the original text. Units of fewer than `min_words` words always stay: short
-headings and closings repeat by chance and say nothing about copying.
+every other one is removed. Offsets are characters of the original text. Units of fewer than `min_words` words always stay: the
+query op2_line_dedup leaves those of up to 7 words, op2_every_line_dedup takes every unit that holds a word.
 
 Counting is combined before it is shuffled, so a line that a third of all documents hold costs no task more than others; the
 look-up of keepers is a join that adaptive execution splits.
@@ -99,3 +99,9 @@ SELECT doc_id, unit, CAST(start AS BIGINT) AS start, CAST(stop AS BIGINT) AS sto
 @query("op2_line_dedup", _SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removals(table(spark, sf_dir, "documents"))
+
+
+@query("op2_every_line_dedup", _SQL.replace("len(words) >= 8", "len(words) >= 1"))
+def op2_every(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op2 without a least length: short lines go too."""
+    return removals(table(spark, sf_dir, "documents"), min_words=1)

@@ -101,3 +101,10 @@ def test_license_templates(spark):
     texts = ["Permission is hereby GRANTED, free of charge, to any person obtaining a copy of this software and its associated documentation", "all rights reversed", "rights: reserved, all", "Released under the BSD License."]
     out = [r["labels"] for r in licenses.scan_licenses(odd.documents(spark, [(k, t, "en", "s", 0) for k, t in enumerate(texts)])).orderBy("doc_id").collect()]
     assert out == ["mit", "", "all-rights-reserved", "mit"]
+
+
+def test_short_lines_go(spark):
+    rows = [(1, "All rights reserved.\n\nx y", "en", "s", 0), (2, f"{odd.prose(20, 1)}\nALL  rights reserved.", "en", "s", 0), (3, "x\n \nx y\nx", "en", "s", 0)]
+    out = line_dedup.removals(odd.documents(spark, rows), min_words=1).collect()
+    assert sorted((r["doc_id"], r["unit"], r["n_words"], r["kept_doc_id"], r["kept_unit"]) for r in out) == [(2, 1, 3, 1, 0), (3, 2, 2, 1, 1), (3, 3, 1, 3, 0)]
+    assert RUN["op2_every_line_dedup"](spark, SMALL).where("n_words < 8").count() > 0
