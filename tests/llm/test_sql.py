@@ -6,7 +6,7 @@ import pytest
 from conftest import SMALL
 from oracle import compare, connect
 
-from fleetprep.llm import catalogue, licenses, line_dedup, mixing, quality_rules
+from fleetprep.llm import catalogue, licenses, line_dedup, mixing, passage_dedup, quality_rules
 
 RUN, SQL = catalogue.registered()
 
@@ -108,3 +108,20 @@ def test_short_lines_go(spark):
     out = line_dedup.removals(odd.documents(spark, rows), min_words=1).collect()
     assert sorted((r["doc_id"], r["unit"], r["n_words"], r["kept_doc_id"], r["kept_unit"]) for r in out) == [(2, 1, 3, 1, 0), (3, 2, 2, 1, 1), (3, 3, 1, 3, 0)]
     assert RUN["op2_every_line_dedup"](spark, SMALL).where("n_words < 8").count() > 0
+
+
+def test_passage_across_lines(spark):
+    shared = odd.prose(54, 5).split()
+    lines = lambda k: "\n".join(" ".join(shared[i : i + k]) for i in range(0, 54, k))
+    one, two = f"é {odd.prose(9, 1)} {lines(11)} {odd.prose(5, 2)}", f"é {odd.prose(4, 3)} {lines(7).upper()} {odd.prose(20, 4)}"
+    docs = odd.documents(spark, [(1, one, "en", "s", 0), (2, two, "en", "s", 0), (3, " ".join(shared[:49]), "en", "s", 0)], more=True)
+    start = two.index(shared[0].upper() + " " + shared[1].upper())
+    assert [tuple(r) for r in passage_dedup.removals(docs).collect()] == [(2, start, start + len(lines(7)), 54)]
+    assert line_dedup.removals(docs, min_words=1).count() == 0
+
+
+def test_passage_odd_rows_equal_sql(spark):
+    rows = list({r[0]: r for r in odd.ROWS if r[0] is not None}.values()) + [(20, "a b " * 60, "en", "s", 0), (21, "\n c " + "a b " * 60, "en", "s", 0)]
+    assert compare(spark, odd_duck(rows), "", lambda s, _: passage_dedup.removals(odd.documents(s, rows, more=True)), SQL["op2_passage_dedup"]) is None
+    assert passage_dedup.removals(odd.documents(spark, [])).collect() == []
+    assert {r["doc_id"] for r in passage_dedup.removals(odd.documents(spark)).collect()} == {2, 12}  # NEAR shares 30 words on either side
