@@ -1,8 +1,9 @@
 """License scans, in DataFrame expressions only.
 
-Base: places where the words of a phrase stand in a row. On top, an exact set-similarity join finds every text block (line)
-that contains at least `threshold` of the distinct words of a license template: template words are ordered by how many lines of
-all documents hold them, rarest first; a block can reach the threshold only if it holds one of a template's first
+Base: places where the words of a phrase stand in a row. On top, an exact set-similarity join finds every text block that contains at
+least `threshold` of the distinct words of a license template. A block is a line or, for notices that are hard-wrapped, a run of as many
+words as the template has, over any number of line ends; lines without words do not part it. Template words are ordered by how many
+blocks of all documents hold them, rarest first; a block can reach the threshold only if it holds one of a template's first
 t - ceil(threshold t) + 1 words (prefix), has enough template words at all (length), and has enough of them left behind the
 matching place in both orders (position). What passes is counted in full.
 
@@ -14,7 +15,9 @@ ignored. Score: 1 where a base phrase stands, else the largest containment that
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,8 +54,24 @@ def word_set(words: list[str]):
     return F.array(*[F.lit(w) for w in words])
 
 
-def base(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str]) -> DataFrame:
-    """Per document: counts and places of the phrases, and of each line the distinct template words it holds."""
+def around_line_ends(every, reach: int):
+    """Of each line: its first `reach` words, behind the `reach` words that stand before the line."""
+    last = lambda x: F.slice(x, F.greatest(F.lit(1), F.size(x) - reach + 1), F.lit(reach))
+    # every line holds a word, so no more than `reach` lines are needed
+    before = lambda i: F.flatten(F.transform(F.slice(every, F.greatest(F.lit(1), i - reach + 1), F.least(i, F.lit(reach))), last))
+    joined = lambda x, i: F.transform(F.array(before(i)), lambda b: F.concat(last(b), F.slice(x, 1, reach)))[0]
+    return F.filter(F.transform(every, lambda x, i: F.when(i > 0, joined(x, i))), F.isnotnull)
+
+
+def least_words(text: str, threshold: float) -> int:
+    return math.ceil(threshold * len(set(text.split())) - 1e-9)
+
+
+def base(docs: DataFrame, phrases: dict[str, str], templates: list[tuple[str, str]], threshold: float) -> DataFrame:
+    """Per document: counts and places of the phrases, and the blocks: the distinct template words of each line (`near` is null), and of
+    the words around each line end, `near`, if they can hold a template."""
+    vocabulary = sorted({w for _, t in templates for w in t.split()})
+    reach = max(len(t.split()) for _, t in templates)
     text, any_phrase = F.col("text"), phrase_pattern(phrases)
     words = F.lit(f"[^{PARTS}]+")
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -64,47 +83,56 @@ def base(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str]) -> Dat
     for p, label in phrases.items():
         by_label.setdefault(label, []).append(p)
     labels = F.array(*[F.when(text.rlike(phrase_pattern(ps)), label) for label, ps in by_label.items()])
-    lines = F.transform(F.split(text, "\n"), lambda x: F.array_intersect(F.split(F.lower(x), f"[{PARTS}]+"), word_set(vocabulary)))
+    lines = F.transform(F.split(text, "\n"), lambda x: F.filter(F.split(F.lower(x), f"[{PARTS}]+"), lambda w: w != ""))
+    lines = F.filter(lines, lambda x: F.size(x) > 0)
+    held = lambda x: F.array_intersect(x, word_set(vocabulary))
+    can_hold = lambda w: functools.reduce(operator.or_, [F.size(F.array_intersect(w, word_set(sorted(set(t.split()))))) >= least_words(t, threshold) for _, t in templates])
+    # transform over one value: what a lambda refers to is computed once, not for each line
+    whole = lambda every: F.transform(every, lambda x: F.struct(held(x).alias("words"), F.lit(None).cast("array<string>").alias("near")))
+    joined = lambda every: F.transform(around_line_ends(every, reach), lambda x: F.struct(held(x).alias("words"), x.alias("near")))
+    joined_that_can = lambda every: F.filter(joined(every), lambda x: can_hold(x["words"]))
+    blocks = F.transform(F.array(lines), lambda every: F.concat(whole(every), joined_that_can(every)))[0]
     return docs.withColumn("place", F.when(found, F.regexp_instr(text, F.lit(any_phrase)))).select(
         "doc_id", F.xxhash64("doc_id", "text").alias("uid"), F.regexp_count(text, words).cast("long").alias("n_words"), "n_base",
         F.when(found, F.regexp_count(before_first, words)).cast("long").alias("first_word"),
         F.when(found, F.regexp_count(before_last, words)).cast("long").alias("last_word"),
         F.when(found, F.array_sort(F.array_compact(labels))).otherwise(F.array().cast("array<string>")).alias("found"),
-        F.filter(lines, lambda x: F.size(x) > 0).alias("blocks"),
+        F.filter(blocks, lambda x: F.size(x["words"]) > 0).alias("blocks"),
     )
 
 
 def template_hits(rows: DataFrame, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
     """uid, label, containment of every template in every block that reaches the threshold."""
     spark = rows.sparkSession
-    blocks = rows.select("uid", F.explode("blocks").alias("words"))
-    # lines that hold a word, over all documents; one row per template word
+    blocks = rows.select("uid", F.inline("blocks"))
+    # blocks that hold a word, over all documents; one row per template word
     lines = dict(blocks.select(F.explode("words").alias("w")).groupBy("w").count().collect())
     order = {w: i for i, w in enumerate(sorted({w for _, t in templates for w in t.split()}, key=lambda w: (lines.get(w, 0), w)))}
     prefix = []
     for k, (label, text) in enumerate(templates):
         own = sorted(set(text.split()), key=order.get)
-        need = math.ceil(threshold * len(own) - 1e-9)
-        prefix += [(w, k, label, own, need, i) for i, w in enumerate(own[: len(own) - need + 1])]
-    prefix = spark.createDataFrame(prefix, "w string, template int, label string, own array<string>, need int, at int")
+        need, width = least_words(text, threshold), len(text.split())
+        prefix += [(w, k, label, own, need, width, i) for i, w in enumerate(own[: len(own) - need + 1])]
+    prefix = spark.createDataFrame(prefix, "w string, template int, label string, own array<string>, need int, width int, at int")
     ranks = F.create_map(*[x for w, i in order.items() for x in (F.lit(w), F.lit(i))])
     rank_of = lambda w: F.element_at(ranks, w)
-    least = min(math.ceil(threshold * len(set(t.split())) - 1e-9) for _, t in templates)
-    short = blocks.where(F.size("words") >= least).distinct()  # equal lines of a document once
+    least = min(least_words(t, threshold) for _, t in templates)
+    short = blocks.where(F.size("words") >= least).distinct()  # equal blocks of a document once
     short = short.withColumn("id", F.xxhash64("uid", "words"))
     pairs = short.withColumn("w", F.explode("words")).join(F.broadcast(prefix), "w")
     behind = F.size(F.filter("words", lambda x: rank_of(x) > rank_of(F.col("w"))))
     pairs = pairs.where((F.size("words") >= F.col("need")) & (1 + F.least(behind, F.size("own") - F.col("at") - 1) >= F.col("need")))
     # the first shared prefix word carries the pair; its later ones would only repeat it
-    overlap = F.size(F.array_intersect("words", "own"))
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("near") - F.col("width") + 1))
+    of_run = F.array_max(F.transform(starts, lambda s: F.size(F.array_intersect(F.slice("near", s, F.col("width")), F.col("own")))))
+    overlap = F.when(F.col("near").isNull(), F.size(F.array_intersect("words", "own"))).otherwise(of_run)
     hits = pairs.where(overlap >= F.col("need")).select("uid", "label", (overlap / F.size("own")).alias("containment"))
     return hits.groupBy("uid", "label").agg(F.max("containment").alias("containment"))
 
 
 def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = 0.8) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for every document."""
-    vocabulary = sorted({w for _, t in templates for w in t.split()})
-    rows = stage(base(only(docs, "doc_id", "text"), phrases, vocabulary))
+    rows = stage(base(only(docs, "doc_id", "text"), phrases, templates, threshold))
     hits = template_hits(rows.select("uid", "blocks"), templates, threshold)
     hits = hits.groupBy("uid").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))  # one label each at most
     both = rows.drop("blocks").join(hits, "uid", "left")

@@ -125,3 +125,25 @@ def test_passage_odd_rows_equal_sql(spark):
     assert compare(spark, odd_duck(rows), "", lambda s, _: passage_dedup.removals(odd.documents(s, rows, more=True)), SQL["op2_passage_dedup"]) is None
     assert passage_dedup.removals(odd.documents(spark, [])).collect() == []
     assert {r["doc_id"] for r in passage_dedup.removals(odd.documents(spark)).collect()} == {2, 12}  # NEAR shares 30 words on either side
+
+
+@pytest.mark.parametrize("width", [3, 8, 13, 40])
+def test_wrapped_notices(spark, width):
+    notices = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
+        "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    }
+    rows = []
+    for k, text in enumerate(notices.values()):
+        words = f"{odd.prose(45, k)} {text} {odd.prose(45, 10 + k)}".split()
+        rows.append((k, "\n * \n".join(" * " + " ".join(words[i : i + width]) for i in range(0, len(words), width)), "en", "s", 0))
+    found = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(odd.documents(spark, rows), phrases={"cc by": "cc-by"}).collect()}
+    assert [found[k] for k in range(4)] == list(notices)
+
+
+def test_words_near_a_wrapped_notice_are_not_its_words(spark):
+    texts = ["kam mit der\nLicensed under the Apache License, version 2.0", "released\n\nunder the\nMIT license", "all\nthe rights\nreserved"]
+    out = licenses.scan_licenses(odd.documents(spark, [(k, t, "en", "s", 0) for k, t in enumerate(texts)]), phrases={"cc by": "cc-by"}).orderBy("doc_id")
+    assert [r["labels"] for r in out.collect()] == ["apache", "mit", ""]
