@@ -20,6 +20,8 @@ So every link between different components is found, and big groups of near copi
 c of their leading shingles share at most c + max(n - lead(n), m - lead(m)) in all. In the first two steps c is the number of columns where the
 two happen to be paired, which may discard too much; the third step makes up for it.
 
+Links inside a component that is joined already are not looked for: the result is components, not all links nor their number.
+
 Null text or text without words: empty set, linked with nothing. Fewer than 5 words: the whole sequence is the one shingle. Null doc_id:
 takes part, is never a component_id unless the whole component has none. Repeated rows: each is returned. Empty table: no rows.
 Other columns are ignored.
