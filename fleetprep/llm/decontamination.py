@@ -8,7 +8,8 @@ sides; passages meet pieces in a join on the seed. Each (passage, piece) is alig
 score is the best alignment over twice the piece's words: 1 for an exact copy, about 0.63 with a quarter of the words replaced.
 
 Both passes filter by a bitmap of fixed size; the join is exact. A result names (doc_id, item_id) with the best passage, for scores
-of at least `least` and alignments worth 6 matching words.
+of at least `least`, or any score if the alignment is worth `enough` matching words. It must be worth 6 matching words, or all words
+of a shorter item.
 
 Null or empty texts and items: no words, no results. Items of fewer than 3 words have no seeds. Repeated item rows count once, and
 so do items that repeat under one item_id. Null doc_id or item_id: kept as null. Repeated documents give one result. Empty
@@ -37,7 +38,7 @@ MATCH, MISMATCH, GAP = 2, 1, 1
 
 
 def seeds_of(items: DataFrame) -> DataFrame:
-    """item_id, piece (hash of its words), words, h: one row per seed of a piece."""
+    """item_id, piece (hash of its words), words, n (words of the item), h: one row per seed of a piece."""
 
     def run(batches):
         for batch in batches:
@@ -50,14 +51,14 @@ def seeds_of(items: DataFrame) -> DataFrame:
                         w = h[at : min(at + PIECE, b)]
                         grams, _ = scan.windows(w, np.array([0, len(w)]), SEED)
                         grams = grams[np.sort(np.unique(grams, return_index=True)[1])]
-                        rows += [(item, w.view(np.int64).tolist(), int(g)) for g in grams.view(np.int64)]
+                        rows += [(item, w.view(np.int64).tolist(), int(b - a), int(g)) for g in grams.view(np.int64)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64())), pa.array([r[2] for r in rows], pa.int64())],
-                names=["item_id", "words", "h"],
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64())), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int64())],
+                names=["item_id", "words", "n", "h"],
             )
 
     items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).distinct()
-    return items.mapInArrow(run, "item_id long, words array<long>, h long").withColumn("piece", F.xxhash64("item_id", "words"))
+    return items.mapInArrow(run, "item_id long, words array<long>, n long, h long").withColumn("piece", F.xxhash64("item_id", "words"))
 
 
 def seed_counts(docs: DataFrame, seen: np.ndarray) -> DataFrame:
@@ -85,7 +86,7 @@ def rare_seeds(seeds: DataFrame, counts: DataFrame, common_share: float) -> Data
     # the rarer half: by rank within the piece (a piece has at most PIECE seeds)
     ranks = known.groupBy("piece").agg(F.array_sort(F.collect_list(F.struct("docs", "h"))).alias("all"))
     known = known.join(ranks, "piece").withColumn("rank", F.array_position("all", F.struct("docs", "h")))
-    return known.where((F.col("docs") <= n_docs) | (2 * F.col("rank") <= F.size("all") + 1)).select("item_id", "piece", "words", "h")
+    return known.where((F.col("docs") <= n_docs) | (2 * F.col("rank") <= F.size("all") + 1)).select("item_id", "piece", "words", "n", "h")
 
 
 def passages(docs: DataFrame, seen: np.ndarray) -> DataFrame:
@@ -144,8 +145,8 @@ def align(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[np.ndarray,
     return best.astype(np.int64), where
 
 
-def aligned(pairs: DataFrame, least: float, words: int, together: int = 256) -> DataFrame:
-    """doc_id, item_id, score, first_word, last_word of pairs that reach `least`."""
+def aligned(pairs: DataFrame, least: float, words: int, enough: int, together: int = 256) -> DataFrame:
+    """doc_id, item_id, score, first_word, last_word of pairs that reach `least` or `enough`."""
 
     def run(batches):
         for batch in batches:
@@ -155,7 +156,8 @@ def aligned(pairs: DataFrame, least: float, words: int, together: int = 256) ->
                 items, texts = column("words"), column("passage")
                 best, last = align(items, texts)
                 score = best / (MATCH * np.maximum([len(i) for i in items], 1))
-                ok = np.flatnonzero((score >= least) & (best >= MATCH * words))
+                whole = np.asarray(part.column("n"), np.int64)
+                ok = np.flatnonzero(((score >= least) | (best >= MATCH * enough)) & (best >= MATCH * np.minimum(words, whole)))
                 # where it begins: the same alignment from the back
                 back, end = align([items[k][::-1] for k in ok], [texts[k][: last[k] + 1][::-1] for k in ok])
                 first = np.array(part.column("first").to_pylist(), np.int64)[ok]
@@ -167,7 +169,7 @@ def aligned(pairs: DataFrame, least: float, words: int, together: int = 256) ->
     return pairs.mapInArrow(run, "doc_id long, item_id long, score double, first_word long, last_word long")
 
 
-def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.5, words: int = 6, common_share: float = 0.01) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.5, words: int = 6, enough: int = 25, common_share: float = 0.01) -> DataFrame:
     """One row per (doc_id, item_id) that match: score (0 to 1), first_word, last_word (places in the document)."""
     docs = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     seeds = stage(seeds_of(only(items, "item_id", "text")))
@@ -175,10 +177,10 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.5, words: i
     rare = stage(rare_seeds(seeds, counts, common_share))
     cuts = stage(passages(docs, bitmap(rare, "h")).withColumn("cut", F.xxhash64("doc_id", "first", "passage")))
     meet = cuts.select("cut", F.explode("hits").alias("h")).join(rare.select("h", "piece"), "h").select("cut", "piece").distinct()
-    pieces = rare.groupBy("piece").agg(F.first("item_id").alias("item_id"), F.first("words").alias("words"))
+    pieces = rare.groupBy("piece").agg(F.first("item_id").alias("item_id"), F.first("words").alias("words"), F.min("n").alias("n"))
     texts = cuts.select("cut", "doc_id", "first", "passage").dropDuplicates(["cut"])
     pairs = meet.join(texts, "cut").join(pieces, "piece")
-    hits = aligned(pairs.select("doc_id", "first", "passage", "item_id", "words"), least, words)
+    hits = aligned(pairs.select("doc_id", "first", "passage", "item_id", "words", "n"), least, words, enough)
     best = F.max(F.struct("score", -F.col("first_word"), -F.col("last_word"))).alias("b")
     hits = hits.groupBy("doc_id", "item_id").agg(best)
     return hits.select("doc_id", "item_id", F.round("b.score", 6).alias("score"), (-F.col("b.col2")).alias("first_word"), (-F.col("b.col3")).alias("last_word"))

@@ -409,3 +409,14 @@ def test_word_wise_encoding_equals_whole_texts():
         ids, sizes = encoder.encode(column)
         want = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts[lo:hi]]
         assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
+
+
+def test_parts_of_long_items_and_short_items_are_found(spark):
+    long, tail = odd.prose(128, 60), odd.prose(131, 61)
+    items = odd.items(spark, [(1, long), (2, "zebra quilt mango"), (3, tail)])
+    around = lambda text, k: f"{odd.prose(70, 62 + k)} {text} {odd.prose(70, 72 + k)}"
+    texts = [around(" ".join(long.split()[20:60]), 0), around("Zebra, quilt mango!", 1), around(" ".join(tail.split()[-3:]), 2), around("zebra quilt of mango", 3)]
+    docs = odd.documents(spark, [(k, t, "en", "s", 0) for k, t in enumerate(texts)])
+    rows = sorted(tuple(r) for r in decontamination.contaminated(docs, items).collect())
+    assert [(r[0], r[1], r[3], r[4]) for r in rows] == [(0, 1, 70, 109), (1, 2, 70, 72)]
+    assert rows[0][2] < 0.5 and rows[1][2] == 1
