@@ -6,7 +6,7 @@ import importlib
 
 from fleetprep.llm.tables import RUN, SQL
 
-MODULES = ["quality_rules", "mixing", "licenses", "line_dedup", "passage_dedup", "sharding", "quality_classifier", "decontamination", "lm_scoring", "token_files", "ngram_join"]
+MODULES = ["quality_rules", "mixing", "licenses", "line_dedup", "passage_dedup", "sharding", "quality_classifier", "decontamination", "lm_scoring", "token_files", "ngram_join", "whitening", "piece_encoding", "period_runs"]
 
 
 def registered():

@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: fixed values: what counts as a word
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,3 +32,8 @@ def query(label: str, sql: str | None = None):
 def only(df: DataFrame, *columns: str) -> DataFrame:
     """The named columns, whatever others there are."""
     return df.select(*[f"`{c}`" for c in columns])
+
+
+def plus(schema: StructType, more: str) -> StructType:
+    """A schema with more columns behind, given as DDL."""
+    return StructType([*schema, *StructType.fromDDL(more)])
