@@ -2,14 +2,15 @@
 
 Each text is cut into units (lines, or paragraphs parted by blank lines). Units are normalised (A-Z to a-z, runs of white space
 to one blank) and digested; digests are grouped over all documents; of equal units the earliest by (doc_id, place) stays and
-every other one is removed. Offsets are characters of the original text. Units of fewer than `min_words` words always stay: the
-query op2_line_dedup leaves those of up to 7 words, op2_every_line_dedup takes every unit that holds a word.
+every other one goes. Offsets are characters of the original text. Every unit with a word counts, however short; `min_words` leaves shorter
+ones out on request. Passages that do not fill whole units are beyond this method: see passage_dedup.
 
 Counting is combined before it is shuffled, so a line that a third of all documents hold costs no task more than others; the
 look-up of keepers is a join that adaptive execution splits.
 
-Null or empty text: no units. Null doc_id: ranked last. A document that is given twice with the same doc_id counts once: its
-units have the same rank and stay or go together. Empty table: no rows. Other columns are ignored.
+Null or empty text: no units. Null doc_id: ranked last, each such document for itself; `cleaned` leaves them as they are, since it finds
+documents by their id. A document that is given twice with the same doc_id counts once: its units have the same rank and stay or go
+together. Empty table: no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import re
 
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ from fleetprep.cluster import stage
 from fleetprep.llm import scan
 from fleetprep.llm.tables import only, query, table
 
-UNIT = "doc_id long, rank long, unit long, start long, stop long, n_words long, d1 long, d2 long"
+UNIT = "doc_id long, rank long, unit long, nameless long, start long, stop long, n_words long, d1 long, d2 long"
 #: units that contain no line feed, or no empty line
 CUTS = {"line": re.compile(r"[^\n]+"), "paragraph": re.compile(r"[^\n]+(?:\n[^\n]+)*")}
 LAST = 2**63 - 1
@@ -44,30 +46,41 @@ def units(docs: DataFrame, by: str, min_words: int) -> DataFrame:
     cut = CUTS[by]
 
     def run(batches):
+        nameless = TaskContext.get().partitionId() << 40  # numbers documents without an id, so that their units differ in rank
         for batch in batches:
             for lo, hi, column in scan.slices(batch.column("text")):
                 rows = []
                 for doc, text in zip(batch.column("doc_id").slice(lo, hi - lo).to_pylist(), column.to_pylist()):
                     rank = LAST if doc is None else doc
+                    nameless += doc is None
                     rows += [
-                        (doc, rank, place, a, b, n, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True))
+                        (doc, rank, place, nameless if doc is None else 0, a, b, n, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True))
                         for place, a, b, n, d in units_of(text, cut, min_words)
                     ]
                 names = [c.split()[0] for c in UNIT.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(8)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(9)], names=names)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(run, UNIT)
 
 
-def removals(docs: DataFrame, by: str = "line", min_words: int = 8) -> DataFrame:
-    """Every unit that goes: doc_id, unit (place among the units), start, stop, n_words, and kept_doc_id, kept_unit, copies."""
+def judged(docs: DataFrame, by: str = "line", min_words: int = 1) -> DataFrame:
+    """Every unit: doc_id, unit (place among the units), start, stop, n_words, kept, and kept_doc_id, kept_unit, copies."""
     rows = stage(units(only(docs, "doc_id", "text"), by, min_words))
-    keepers = rows.groupBy("d1", "d2").agg(F.min(F.struct("rank", "unit")).alias("keep"), F.count("*").alias("copies"))
-    keepers = keepers.where("copies > 1")
-    both = rows.join(keepers, ["d1", "d2"]).where(F.struct("rank", "unit") != F.col("keep"))
-    kept_doc = F.when(F.col("keep.rank") < LAST, F.col("keep.rank"))
-    return both.select("doc_id", "unit", "start", "stop", "n_words", kept_doc.alias("kept_doc_id"), F.col("keep.unit").alias("kept_unit"), "copies")
+    place = F.struct("rank", "nameless", "unit")
+    keepers = rows.groupBy("d1", "d2").agg(F.min(place).alias("keep"), F.count("*").alias("copies")).where("copies > 1")
+    both = rows.join(keepers, ["d1", "d2"], "left")
+    alone = F.col("keep").isNull()
+    kept_doc = F.when(alone, F.col("doc_id")).when(F.col("keep.rank") < LAST, F.col("keep.rank"))
+    return both.select(
+        "doc_id", "unit", "start", "stop", "n_words", (alone | (place == F.col("keep"))).alias("kept"), kept_doc.alias("kept_doc_id"),
+        F.when(alone, F.col("unit")).otherwise(F.col("keep.unit")).alias("kept_unit"), F.coalesce("copies", F.lit(1).cast("long")).alias("copies"),
+    )
+
+
+def removals(docs: DataFrame, by: str = "line", min_words: int = 1) -> DataFrame:
+    """The units that go."""
+    return judged(docs, by, min_words).where(~F.col("kept")).drop("kept")
 
 
 def cleaned(docs: DataFrame, removed: DataFrame) -> DataFrame:
@@ -91,17 +104,17 @@ o AS (SELECT doc_id, line, i, sum(length(line) + 1) OVER (PARTITION BY doc_id OR
 p AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS unit, start, start + length(line) AS stop,
   regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM o WHERE line <> ''),
 k AS (SELECT *, row_number() OVER (PARTITION BY words ORDER BY doc_id, unit) AS r, count(*) OVER (PARTITION BY words) AS copies,
-  first(doc_id) OVER (PARTITION BY words ORDER BY doc_id, unit) AS kept_doc_id, first(unit) OVER (PARTITION BY words ORDER BY doc_id, unit) AS kept_unit FROM p WHERE len(words) >= 8)
-SELECT doc_id, unit, CAST(start AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, CAST(len(words) AS BIGINT) AS n_words, kept_doc_id, kept_unit, copies FROM k WHERE r > 1
+  first(doc_id) OVER (PARTITION BY words ORDER BY doc_id, unit) AS kept_doc_id, first(unit) OVER (PARTITION BY words ORDER BY doc_id, unit) AS kept_unit FROM p WHERE len(words) >= 1)
+SELECT doc_id, unit, CAST(start AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, CAST(len(words) AS BIGINT) AS n_words, r = 1 AS kept, kept_doc_id, kept_unit, copies FROM k
 """
 
 
 @query("op2_line_dedup", _SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return removals(table(spark, sf_dir, "documents"))
+    return judged(table(spark, sf_dir, "documents"))
 
 
-@query("op2_every_line_dedup", _SQL.replace("len(words) >= 8", "len(words) >= 1"))
+@query("op2_every_line_dedup", f"SELECT * EXCLUDE (kept) FROM ({_SQL}) WHERE NOT kept")
 def op2_every(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op2 without a least length: short lines go too."""
-    return removals(table(spark, sf_dir, "documents"), min_words=1)
+    """What op2_line_dedup takes out, alone."""
+    return removals(table(spark, sf_dir, "documents"))

@@ -22,7 +22,7 @@ def test_equals_sql(spark, duck, label):
 
 
 OPERATORS = {
-    "op2_line_dedup": line_dedup.removals,
+    "op2_line_dedup": line_dedup.judged,
     "op7_mixing": lambda d: mixing.mix(d).select("doc_id", "size", "source_size", "target", "taken"),
     "op8_licenses": licenses.scan_licenses,
     "op10_quality_rules": quality_rules.judge,
@@ -52,7 +52,11 @@ def test_odd_rows_equal_sql(spark, label):
 def test_missing_and_repeated_ids(spark, label):
     rows = OPERATORS[label](odd.documents(spark)).collect()
     if label == "op2_line_dedup":
-        assert {(r["doc_id"], r["unit"], r["kept_doc_id"]) for r in rows} == {(2, 0, 1), (12, 1, 12), (12, 2, 12), (12, 3, 12)}
+        gone = {(r["doc_id"], r["unit"], r["kept_doc_id"]) for r in rows if not r["kept"]}
+        assert gone == {(2, 0, 1), (8, 0, 7), (10, 1, 10), (10, 2, 10), (12, 1, 12), (12, 2, 12), (12, 3, 12)}
+        nameless = [(None, f"x y\n{odd.SAME}", "en", "s", 0)] * 2 + [(None, "x  Y\nx y", "en", "s", 0)]
+        rows = OPERATORS[label](odd.documents(spark, nameless)).collect()
+        assert sum(r["kept"] for r in rows) == 2 and len(rows) == 6 and {(r["copies"], r["kept_doc_id"]) for r in rows} == {(4, None), (2, None)}
     else:
         assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(r[0]) for r in odd.ROWS)
         twins = [tuple(r) for r in rows if r["doc_id"] == 2]
@@ -105,7 +109,8 @@ def test_license_templates(spark):
 
 def test_short_lines_go(spark):
     rows = [(1, "All rights reserved.\n\nx y", "en", "s", 0), (2, f"{odd.prose(20, 1)}\nALL  rights reserved.", "en", "s", 0), (3, "x\n \nx y\nx", "en", "s", 0)]
-    out = line_dedup.removals(odd.documents(spark, rows), min_words=1).collect()
+    assert line_dedup.removals(odd.documents(spark, rows), min_words=4).count() == 0
+    out = line_dedup.removals(odd.documents(spark, rows)).collect()
     assert sorted((r["doc_id"], r["unit"], r["n_words"], r["kept_doc_id"], r["kept_unit"]) for r in out) == [(2, 1, 3, 1, 0), (3, 2, 2, 1, 1), (3, 3, 1, 3, 0)]
     assert RUN["op2_every_line_dedup"](spark, SMALL).where("n_words < 8").count() > 0
 
@@ -117,7 +122,7 @@ def test_passage_across_lines(spark):
     docs = odd.documents(spark, [(1, one, "en", "s", 0), (2, two, "en", "s", 0), (3, " ".join(shared[:49]), "en", "s", 0)], more=True)
     start = two.index(shared[0].upper() + " " + shared[1].upper())
     assert [tuple(r) for r in passage_dedup.removals(docs).collect()] == [(2, start, start + len(lines(7)), 54)]
-    assert line_dedup.removals(docs, min_words=1).count() == 0
+    assert line_dedup.removals(docs).count() == 0
 
 
 def test_passage_odd_rows_equal_sql(spark):
