@@ -17,6 +17,9 @@ from fleetprep.functions.text import comparison_key, name
 from fleetprep.functions.values import parse_bound, present, right_closed_class
 from fleetprep.operators import makes, schema
 from fleetprep.operators.checks import rows_of
+from fleetprep.operators.dictionary import dictionary
+from fleetprep.operators.fingerprint import fingerprint
+from fleetprep.operators.infer import KINDS, infer_types
 from fleetprep.operators.profile import numeric_text_rows
 from fleetprep.operators.split import parts_overlap
 from fleetprep.plans import cleaning, features
@@ -46,6 +49,57 @@ def _(spark, sf):
     return full.join(head, "k").drop("k")
 
 
+_CELLS = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("o_custkey", "o_orderkey", "o_orderpriority", "o_orderstatus"))
+
+
+@query("table_fingerprint", (
+    f"WITH d AS (SELECT md5({_CELLS}) AS d FROM orders) "
+    "SELECT count(*) AS row_count, CAST(sum(CAST(CAST(concat('0x', d[1:15]) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS hash_sum, "
+    "bit_xor(CAST(concat('0x', d[17:31]) AS BIGINT)) AS hash_xor FROM d"
+))
+def _(spark, sf):
+    return fingerprint(scan_parquet(spark, f"{sf}/orders.parquet"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
+
+
+# text columns of every type: whole, decimal, date, mixed, with missing tokens, and one without values
+_TEXTS = {
+    "whole": "CAST(o_custkey AS STRING)", "decimal": "CASE WHEN o_orderkey % 3 = 0 THEN '1.5e3' ELSE CAST(o_custkey AS STRING) END",
+    "day": "substr(CAST(o_orderdate AS STRING), 1, 10)", "mixed": "CASE WHEN o_orderkey % 97 = 5 THEN o_orderstatus ELSE CAST(o_orderkey AS STRING) END",
+    "days_and_numbers": "CASE WHEN o_orderkey % 50 = 7 THEN substr(CAST(o_orderdate AS STRING), 1, 10) ELSE '-12' END",
+    "gaps": "CASE WHEN o_orderkey % 2 = 0 THEN 'N/A' WHEN o_orderkey % 5 = 1 THEN CAST(NULL AS STRING) ELSE '.5' END",
+    "no_day": "CASE WHEN o_orderkey % 11 = 3 THEN '2024-02-30' ELSE '2024-02-28' END", "none": "CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 'null' END",
+    "long_number": "CAST(o_orderkey AS STRING) || '000000000000000000'", "words": "o_orderpriority",
+}
+_TOKENS = ", ".join(f"'{t}'" for t in K.MISSING_TOKENS)
+_KIND = (
+    f"CASE WHEN v IS NULL OR v IN ({_TOKENS}) THEN 'missing' WHEN regexp_full_match(v, '[+-]?[0-9]{{1,18}}') THEN 'whole' "
+    "WHEN regexp_full_match(v, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]{1,3})?') THEN 'decimal' "
+    "WHEN regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND try_cast(v AS DATE) IS NOT NULL THEN 'date' ELSE 'text' END"
+)
+
+
+@query("infer_types", (
+    "WITH l AS (" + " UNION ALL ".join(f"SELECT '{c}' AS variable, {e} AS v FROM orders" for c, e in _TEXTS.items()) + "), "
+    f"k AS (SELECT variable, v, {_KIND} AS kind FROM l), "
+    "n AS (SELECT variable, " + ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}, min(v) FILTER (WHERE kind = '{k}') AS least_{k}" for k in KINDS) + " FROM k GROUP BY variable) "
+    "SELECT variable, CASE WHEN n_whole + n_decimal + n_date + n_text = 0 THEN 'empty' WHEN n_text > 0 OR (n_date > 0 AND n_whole + n_decimal > 0) THEN 'text' "
+    "WHEN n_date > 0 THEN 'date' WHEN n_decimal > 0 THEN 'decimal' ELSE 'whole' END AS type, " + ", ".join(f"n_{k} AS {q(k)}" for k in KINDS) + ", "
+    "CASE WHEN n_text > 0 AND n_whole + n_decimal + n_date > 0 THEN least_text WHEN n_text = 0 AND n_date > 0 AND n_whole + n_decimal > 0 "
+    "THEN CASE WHEN n_date <= n_whole + n_decimal THEN least_date ELSE least(least_whole, least_decimal) END END AS counter_example FROM n"
+))
+def _(spark, sf):
+    orders = scan_parquet(spark, f"{sf}/orders.parquet")
+    return infer_types(orders.select(*[F.expr(e).alias(c) for c, e in _TEXTS.items()]))
+
+
+@query("category_dictionary", (
+    "SELECT value, CAST(row_number() OVER (ORDER BY n DESC, value) - 1 AS BIGINT) AS id FROM (SELECT CAST(o_custkey AS VARCHAR) AS value, count(*) AS n FROM orders GROUP BY 1)"
+))
+def _(spark, sf):
+    values = scan_parquet(spark, f"{sf}/orders.parquet").groupBy(F.col("o_custkey").cast("string").alias("value")).agg(F.count("*").alias("n"))
+    return dictionary(values)
+
+
 @query("load_split", sql(
     f"SELECT part, count(*) AS rows_in_part, {n('sum(vehicle_record_id)')} AS key_sum, count(co2_wltp_g_km) AS targets FROM split GROUP BY part", "split"
 ))

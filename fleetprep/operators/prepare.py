@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import os
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -13,14 +14,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetprep import contracts as K
-from fleetprep.cluster import one_row
+from fleetprep.cluster import one_row, stage
 from fleetprep.functions.text import name
 from fleetprep.functions.values import member, present
+from fleetprep.operators.dictionary import dictionary, encode, load
 from fleetprep.operators.quantiles import scalars
 from fleetprep.operators.schema import require_columns
 from fleetprep.operators.shape import missing_count, numeric_columns, value_counts, wide_to_long
 
 
+MOST_CATEGORIES = 20_000  # one-hot columns in all, and values that reach the driver
+
+
 @dataclass(frozen=True)
 class Rules:
     """What to do with which column."""
@@ -51,10 +56,12 @@ class Params:
     means: dict[str, float]
     stds: dict[str, float]
     schema_version: int = 2
+    wide: dict[str, str] = field(default_factory=dict)  # columns with too many values for one column each: where their dictionary lies
+    sizes: dict[str, int] = field(default_factory=dict)  # and how many values it has
 
     def features(self, rules: Rules) -> list[str]:
-        one_hot = [f"{c}_{v}" for c in rules.categorical for v in self.categories[c]]
-        return [*rules.numeric, *rules.indicators.values(), *one_hot]
+        one_hot = [f"{c}_{v}" for c in rules.categorical if c in self.categories for v in self.categories[c]]
+        return [*rules.numeric, *rules.indicators.values(), *one_hot, *[f"{c}_vector" for c in rules.categorical if c in self.wide]]
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), ensure_ascii=False)
@@ -85,17 +92,47 @@ def one_hot_categories(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     return category_counts(train, columns)
 
 
-def fit_categories(train: DataFrame, columns: Sequence[str]) -> tuple[dict[str, str], dict[str, list[str]]]:
-    """Modes and sorted categories from one aggregation. Each category becomes a column of the table; columns with too many
-    values for that belong to encode_wide."""
-    rows = category_counts(train, columns).collect()
+def _modes_and_categories(rows, columns: Sequence[str]) -> tuple[dict[str, str], dict[str, list[str]]]:
     seen: dict[str, list] = {c: [] for c in columns}
     for r in rows:
         seen[r.variable].append((-r.n, r.value))
-    empty = [c for c in columns if not seen[c]]
+    _require_values([c for c in columns if not seen[c]])
+    return {c: min(v)[1] for c, v in seen.items()}, {c: sorted(x for _, x in v) for c, v in seen.items()}
+
+
+def _require_values(empty: Sequence[str]) -> None:
     if empty:
         raise ValueError("no value to learn from in: " + ", ".join(empty))
-    return {c: min(v)[1] for c, v in seen.items()}, {c: sorted(x for _, x in v) for c, v in seen.items()}
+
+
+def fit_categories(train: DataFrame, columns: Sequence[str], most: int = MOST_CATEGORIES) -> tuple[dict[str, str], dict[str, list[str]]]:
+    """Modes and sorted categories from one aggregation. Each category becomes a column of the table, so there may be `most` of them in
+    all, which bounds what reaches the driver; with more, fit_any is the way."""
+    rows = category_counts(train, columns).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} categories in: " + ", ".join(columns))
+    return _modes_and_categories(rows, columns)
+
+
+def fit_any(train: DataFrame, columns: Sequence[str], most: int = MOST_CATEGORIES) -> tuple[dict[str, str], dict[str, list[str]], dict[str, tuple[DataFrame, int]]]:
+    """Modes, categories, and dictionaries of the columns whose values are too many to be columns: those with the fewest values get columns
+    while there are `most` in all. The driver gets `most` values at most, and a mode and a number a column."""
+    rows = category_counts(train, columns).limit(most + 1).collect()
+    if len(rows) <= most:
+        return *_modes_and_categories(rows, columns), {}
+    counts = stage(category_counts(train, columns))
+    found = {r["variable"]: r for r in counts.groupBy("variable").agg(
+        F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"), F.count("*").alias("size")
+    ).collect()}
+    _require_values([c for c in columns if c not in found])
+    narrow, used = [], 0
+    for c in sorted(columns, key=lambda c: (found[c]["size"], c)):
+        if used + found[c]["size"] <= most:
+            narrow.append(c)
+            used += found[c]["size"]
+    _, categories = _modes_and_categories(counts.where(F.col("variable").isin(narrow)).collect(), narrow) if narrow else ({}, {})
+    tables = {c: (dictionary(counts.where(F.col("variable") == c)), found[c]["size"]) for c in columns if c not in narrow}
+    return {c: found[c]["mode"] for c in columns}, categories, tables
 
 
 def median_inputs(rules: Rules) -> dict[str, Column]:
@@ -188,15 +225,17 @@ def standardize(df: DataFrame, means: Mapping[str, float], stds: Mapping[str, fl
 
 # ---- the whole preparation ----
 
-def fit(df: DataFrame, rules: Rules = Rules()) -> Params:
-    """Learn all parameters from the training rows: three aggregations over the needed columns."""
+def fit(df: DataFrame, rules: Rules = Rules(), most: int = MOST_CATEGORIES) -> Params:
+    """Learn all parameters from the training rows: three aggregations over the needed columns. Categories beyond `most` become
+    dictionaries in the shared folder, which the parameters name."""
     require_columns(df, [rules.part, *rules.categorical, *rules.numeric])
     train = df.where(name(rules.part) == "train")
-    modes, categories = fit_categories(train, rules.categorical)
+    modes, categories, tables = fit_any(train, rules.categorical, most)
     filled = impute_categorical(train, modes)
     medians = fit_medians(filled, rules, _uncovered(df, rules))
     means, stds = fit_scaler(impute_numeric(filled, rules, medians), list(rules.numeric))
-    return Params(modes, medians, categories, means, stds)
+    wide = {c: os.path.dirname(table.inputFiles()[0]) for c, (table, _) in tables.items()}
+    return Params(modes, medians, categories, means, stds, wide=wide, sizes={c: n for c, (_, n) in tables.items()})
 
 
 def _uncovered(df: DataFrame, rules: Rules) -> list[str]:
@@ -217,6 +256,7 @@ def imputed(df: DataFrame, params: Params, rules: Rules = Rules()) -> DataFrame:
 def transform(df: DataFrame, params: Params, rules: Rules = Rules()) -> DataFrame:
     """Key, target and part if present, then the features in their fixed order. Works on a stream as well."""
     ready = one_hot(standardize(imputed(df, params, rules), params.means, params.stds), params.categories)
+    ready = encode(ready, load(df.sparkSession, params.wide, params.sizes))
     front = [c for c in (rules.key, rules.target, rules.part) if c in df.columns]
     return ready.select(*[name(c) for c in front], *[name(c) for c in params.features(rules)])
 
@@ -275,6 +315,7 @@ def params_table(spark, params: Params, rules: Rules = Rules()) -> DataFrame:
     rows += [("median", i, c, None, float(v)) for i, (c, v) in enumerate(params.medians.items())]
     for c, values in params.categories.items():
         rows += [("category", i, c, v, None) for i, v in enumerate(values)]
+    rows += [("dictionary", i, c, path, float(params.sizes[c])) for i, (c, path) in enumerate(params.wide.items())]
     rows += [("mean", i, c, None, float(v)) for i, (c, v) in enumerate(params.means.items())]
     rows += [("std", i, c, None, float(v)) for i, (c, v) in enumerate(params.stds.items())]
     rows += [("indicator", i, c, v, None) for i, (c, v) in enumerate(rules.indicators.items())]

@@ -45,11 +45,11 @@ def checks(df: DataFrame) -> DataFrame:
     return cleaned_checks(df, K.CLEAN_REQUIRED, K.KEY, K.TARGET, K.DATE, K.MAKE, K.UPPER_CODES)
 
 
-def clean_job(spark: SparkSession, source: str, target: str, rows: int | None = None) -> DataFrame:
-    """CSV to CSV. With a row limit constant columns are kept, because a part of the rows proves nothing."""
+def clean_job(spark: SparkSession, source: str, target: str, rows: int | None = None, drop_constant: bool | None = None) -> DataFrame:
+    """CSV to CSV. Unless drop_constant says otherwise, constant columns are kept with a row limit, because a part of the rows proves nothing."""
     # the cleaning looks at a few columns several times, so the text is parsed once
     source_rows = stage(scan_csv(spark, source, rows))
-    result = stage(clean(source_rows, drop_constant=rows is None).rows)
+    result = stage(clean(source_rows, drop_constant=rows is None if drop_constant is None else drop_constant).rows)
     enforce(checks(result))
     write_csv(result, target)
     back = scan_csv_dates(spark, target)

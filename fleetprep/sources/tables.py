@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from fleetprep import contracts as K
 from fleetprep.functions.text import name
 from fleetprep.functions.values import DATE_FORMATS, nan_to_null
+from fleetprep.operators.fingerprint import same_content
+from fleetprep.operators.infer import cast_to, types_of
 from fleetprep.operators.schema import parse_date_column, require_columns
 from fleetprep.operators.shape import missing_count
 
@@ -48,6 +50,12 @@ def scan_csv(spark: SparkSession, path: str, rows: int | None = None, key: str =
     return first_rows(typed(scan_csv_text(spark, path), K.LONG_COLUMNS, K.DOUBLE_COLUMNS, K.SOURCE_NAMES), key, rows)
 
 
+def scan_csv_inferred(spark: SparkSession, path: str, missing_tokens: Sequence[str] = K.MISSING_TOKENS) -> DataFrame:
+    """A comma-separated file with every column in the type that all its values have."""
+    text = spark.read.option("header", True).option("escape", '"').option("mode", "FAILFAST").csv(path)
+    return cast_to(text, types_of(text, missing_tokens=missing_tokens), missing_tokens)
+
+
 def scan_csv_dates(
     spark: SparkSession, path: str, date: str = K.DATE, rows: int | None = None, key: str = K.KEY
 ) -> DataFrame:
@@ -64,14 +72,31 @@ def scan_features(spark: SparkSession, path: str, rows: int | None = None, key:
     return first_rows(typed(scan_csv_text(spark, path), K.LONG_COLUMNS, [*K.NUMERIC_FEATURES, K.TARGET]), key, rows)
 
 
+def head(table: DataFrame, rows: int) -> DataFrame:
+    """The first rows of a Parquet table in the order of file names and places in the files.
+
+    Rows per file come from the files' footers. The file in which the head ends is looked up in that index, and the condition on file
+    names lets the scan list only the files up to it; nothing is sorted but the index.
+    """
+    path, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    last, left = None, rows
+    if rows > 0:
+        for r in table.groupBy(path.alias("file")).agg(F.count("*").alias("n")).orderBy("file").toLocalIterator():
+            last = r["file"]
+            if r["n"] >= left:
+                break
+            left -= r["n"]
+    if last is None:
+        return table.where(F.lit(False))
+    return table.where((path <= last) & ((path < last) | (place < left)))
+
+
 def scan_parquet(spark: SparkSession, path: str, rows: int | None = None) -> DataFrame:
     """All rows, or the first ones in the order of file names and places in the files; a table without rows is an error."""
     table = spark.read.parquet(path)
     if table.isEmpty():
         raise ValueError(f"no rows in {path}")
-    if rows is None:
-        return table
-    return table.orderBy(F.col("_metadata.file_path"), F.col("_metadata.row_index")).limit(rows)
+    return table if rows is None else head(table, rows)
 
 
 def scan_target(spark: SparkSession, path: str, target: str, rows: int | None = None) -> DataFrame:
@@ -114,16 +139,18 @@ def xy(df: DataFrame, part_value: str, features: Sequence[str], target: str, par
 
 
 def export_checks(written: DataFrame, read_back: DataFrame, target: str, date: str) -> DataFrame:
-    """(check, ok): same row count and columns, target there and complete, date still a timestamp."""
+    """(check, ok): same row count, columns and contents, target there and complete, date still a timestamp."""
     here = target in read_back.columns
     date_kept = date in read_back.columns and isinstance(read_back.schema[date].dataType, T.TimestampType)
     a = written.agg(F.count("*").alias("rows"), F.lit(0).cast("bigint").alias("gaps"))
     b = read_back.agg((-F.count("*")).alias("rows"), (missing_count(target) if here else F.lit(1)).cast("bigint").alias("gaps"))
+    same = same_content(written, read_back)
     both = a.unionByName(b).agg((F.sum("rows") == 0).alias("rows"), (F.sum("gaps") == 0).alias("gaps"))
     return both.select(F.inline(F.array(*[
         F.struct(F.lit(label).alias("check"), ok.alias("ok")) for label, ok in [
             ("row_count", F.col("rows")),
             ("columns", F.lit(sorted(written.columns) == sorted(read_back.columns))),
+            ("content", F.lit(same)),
             ("target_present", F.lit(here)),
             ("target_complete", F.col("gaps")),
             ("date_type", F.lit(date_kept)),
