@@ -195,8 +195,7 @@ def plain_runs(s, power=period_runs.POWER, least=period_runs.LEAST):
             while j + q < n and s[j] == s[j + q]:
                 j += 1
             size = j - i + q
-            smaller = any(all(s[k] == s[k + d] for k in range(i, i + size - d)) for d in range(1, q))
-            if j > i and size >= max(least, power * q) and not smaller:
+            if j > i and size >= max(least, power * q) and not any(all(s[k] == s[k + d] for k in range(i, i + size - d)) for d in range(1, q)):
                 out.append((i, size, q))
             i = j + 1
     return sorted(out, key=lambda r: (r[0], r[2]))
