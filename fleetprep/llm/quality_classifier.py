@@ -183,13 +183,15 @@ def score(docs: DataFrame, labels: DataFrame, at_least: float = 0.3, max_train:
 def accepted(docs: DataFrame, labels: DataFrame, at_least: float = 0.3, max_train: int = 20_000) -> DataFrame:
     """The documents that score at_least or more, with all their columns; nothing is shuffled."""
     forest = fit(plain(docs), only(labels, "doc_id", "quality"), max_train)
+    at = docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
-            keep = [forest.scores(statistics(column)) >= at_least for _, _, column in scan.slices(batch.column("text"))]
-            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
+            for lo, hi, column in scan.slices(batch.column(at)):  # a slice at a time is passed on, which bounds what a worker holds
+                yield batch.slice(lo, hi - lo).filter(pa.array(forest.scores(statistics(column)) >= at_least))
 
-    return docs.mapInArrow(run, docs.schema)
+    numbered = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # column names may hold dots
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
 
 
 @query("op4_quality_classifier")
