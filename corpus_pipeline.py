@@ -20,6 +20,18 @@ from fleetprep.llm import decontamination, mixing, ngram_join, quality_classifie
 from fleetprep.llm.tables import table
 
 
+def columns_of(docs: DataFrame) -> list:
+    """All columns, whatever their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
+def unused(docs: DataFrame, stem: str) -> str:
+    """A column name that docs do not have."""
+    while stem.lower() in {c.lower() for c in docs.columns}:
+        stem += "_"
+    return stem
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     return quality_classifier.accepted(docs, table(spark, sf_dir, "labels"))
@@ -28,20 +40,21 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each group of near duplicates."""
     copies = ngram_join.similar(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(copies, "doc_id", "left_anti").select(*columns_of(docs))
 
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
     hits = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(hits, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(hits, "doc_id", "left_anti").select(*columns_of(docs))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("copies").cast("int").alias("_mix_copies"))
-    both = docs.join(taken.where("_mix_copies > 0"), docs["doc_id"].eqNullSafe(F.col("_mix_id")))
-    return both.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), "_mix_copies"))).select(docs.columns)
+    key, copies, copy = (unused(docs, c) for c in ("mix_id", "mix_copies", "mix_copy"))
+    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").cast("int").alias(copies))
+    both = docs.join(taken.where(F.col(copies) > 0), docs["doc_id"].eqNullSafe(F.col(key)))
+    return both.withColumn(copy, F.explode(F.sequence(F.lit(1), copies))).select(*columns_of(docs))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
