@@ -14,7 +14,11 @@ The product goes by columns: the entries of a shingle meet in one sorted run, sh
 2. Classes that are now in one component need no further comparison, and columns within one component drop out. Some rounds of chains
    over the others, each in another order, join most of what belongs together, again with rows in proportion to entries.
 3. For the columns that still hold several components, all pairs of different components and fitting sizes are added up, bounded and
-   counted in full in the same way. Only entries outside a column's main component meet the others.
+   counted in full in the same way. Only entries outside a column's main component meet the others. Columns of more than LONG classes
+   are multiplied out inside tasks, a block of BLOCK classes by another, and a pair leaves its task only if the parity signatures of the two
+   sets allow a link. A signature has 1024 bits, each the parity of how many shingles fall on it. Two sets differ in at least as many
+   shingles as their signatures differ in bits (d), and they link only if they differ in (n + m) / 7 or fewer, so pairs with
+   7 d > n + m cannot link: the bound is exact, whatever the sizes, and sharp up to some thousand shingles.
 
 So every link between different components is found, and big groups of near copies never become all their pairs. The bound: pairs that share
 c of their leading shingles share at most c + max(n - lead(n), m - lead(m)) in all. In the first two steps c is the number of columns where the
@@ -42,6 +46,9 @@ from fleetprep.llm.tables import only, query, table
 
 WIDTH = 5
 SKETCH_BITS, CHUNK_BITS = 21, 12
+SIGN_BITS = 10  # log2 of a signature's bits
+LONG, BLOCK = 64, 4096  # columns beyond LONG classes are multiplied out in blocks of about BLOCK classes
+TILE = 1 << 16  # pairs that a task looks at together
 
 
 def shingle_sets(column: pa.Array) -> list[np.ndarray]:
@@ -68,6 +75,12 @@ def fingerprint(s: np.ndarray) -> int:
     return int(scan.mix(total + np.uint64(len(s))).view(np.int64)[0])
 
 
+def signature(s: np.ndarray) -> bytes:
+    """The parity of the number of shingles on each of 2^SIGN_BITS places."""
+    at = scan.mix(s ^ np.uint64(0x3C3C3C3CC3C3C3C3)) >> np.uint64(64 - SIGN_BITS)
+    return np.packbits(np.bincount(at.astype(np.int64), minlength=1 << SIGN_BITS).astype(np.uint8) & 1).tobytes()
+
+
 def lead(n):
     """How many of a row's first shingles are needed."""
     return n - (3 * n + 3) // 4 + 1
@@ -235,8 +248,50 @@ def crossings(entry: DataFrame) -> DataFrame:
     return sized(rows.select(F.struct("x.n", "x.cls", "x.root").alias("x"), F.struct("y.n", "y.cls", "y.root").alias("y")))
 
 
-def whole_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """cls, shingles of the classes in a bitmap (and some more)."""
+def product(group: pa.Table) -> pa.Table:
+    """The pairs of a block that are in different components and may link by their sizes and signatures."""
+    cls, n, root, main = (group.column(c).to_numpy() for c in ("cls", "n", "root", "main"))
+    sign = np.frombuffer(b"".join(group.column("sign").to_pylist()), np.uint64).reshape(len(cls), -1)
+    left = group.column("left").to_numpy()
+    x, y = np.flatnonzero(left), np.flatnonzero(~left)
+    found = [np.zeros((2, 0), np.int64)]
+    step = max(1, TILE // max(1, len(y)))
+    for lo in range(0, len(x), step):
+        i, j = x[lo : lo + step, None], y[None, :]
+        once = (root[j] == main[j]) | (n[i] < n[j]) | ((n[i] == n[j]) & (cls[i] < cls[j]))
+        i, j = np.nonzero((root[i] != root[j]) & once & (3 * n[j] <= 4 * n[i]) & (3 * n[i] <= 4 * n[j]))
+        i, j = x[lo + i], y[j]
+        near = 7 * np.bitwise_count(sign[i] ^ sign[j]).sum(axis=1, dtype=np.int64) <= n[i] + n[j]
+        found.append(np.stack((i[near], j[near])))
+    i, j = np.concatenate(found, axis=1)
+    turn = (n[j] < n[i]) | ((n[j] == n[i]) & (cls[j] < cls[i]))
+    a, b = np.where(turn, j, i), np.where(turn, i, j)
+    return pa.table({"a": cls[a], "n": n[a], "ra": root[a], "b": cls[b], "m": n[b], "rb": root[b]})
+
+
+def products(docs: DataFrame, entry: DataFrame) -> DataFrame:
+    """As crossings, for long columns: blocks of classes are multiplied in tasks, and pairs that cannot link stay there."""
+    classes_of = stage(entry.select("cls").distinct())
+    signs = whole_sets(docs, bitmap(classes_of, "cls"), signature, "binary").withColumnRenamed("shingles", "sign")
+    signs = stage(signs.join(classes_of, "cls").dropDuplicates(["cls"]))
+    parts = F.ceil(F.col("k") / BLOCK).cast("int")
+    rows = entry.withColumn("part", F.pmod(F.xxhash64("cls"), parts).cast("int"))
+    all_parts = F.sequence(F.lit(0), parts - 1)
+    place = lambda i, j, left: F.struct(i.alias("i"), j.alias("j"), F.lit(left).alias("left"))
+    as_x = F.when(F.col("root") != F.col("main"), F.transform(all_parts, lambda p: place(F.col("part"), p, True)))
+    as_y = F.transform(all_parts, lambda p: place(p, F.col("part"), False))
+    rows = rows.select("h", "cls", "n", "root", "main", F.inline(F.concat(F.coalesce(as_x, F.slice(as_y, 1, 0)), as_y)))
+    return rows.join(signs, "cls").groupBy("h", "i", "j").applyInArrow(product, "a long, n int, ra long, b long, m int, rb long")
+
+
+def candidates(docs: DataFrame, entry: DataFrame) -> DataFrame:
+    """All pairs of open columns that are in different components, but those of long columns that cannot link."""
+    pairs, long = crossings(entry.where(F.col("k") <= LONG)), entry.where(F.col("k") > LONG)
+    return pairs if long.isEmpty() else pairs.unionByName(products(docs, long))
+
+
+def whole_sets(docs: DataFrame, wanted: np.ndarray, form=None, kind: str = "array<long>") -> DataFrame:
+    """cls, shingles of the classes in a bitmap (and some more); or form(shingles), which is of this kind."""
 
     def run(batches):
         seen = set()
@@ -250,12 +305,14 @@ def whole_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
                         keys.append(key), kept.append(s.view(np.int64))
                 if len(seen) > 1 << 20:
                     seen.clear()
-                if keys:
+                if keys and form:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([form(s.view(np.uint64)) for s in kept])], names=["cls", "shingles"])
+                elif keys:
                     off = np.concatenate(([0], np.cumsum([len(s) for s in kept]))).astype(np.int64)
                     lists = pa.LargeListArray.from_arrays(pa.array(off), pa.array(np.concatenate(kept))).cast(pa.list_(pa.int64()))
                     yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), lists], names=["cls", "shingles"])
 
-    return docs.select("text").mapInArrow(run, "cls long, shingles array<long>")
+    return docs.select("text").mapInArrow(run, f"cls long, shingles {kind}")
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -285,7 +342,7 @@ def similar(docs: DataFrame, rounds: int = 2) -> DataFrame:
     links, pairs = found.select("a", "b"), tried.select("a", "b")
     entry = stage(open_entries(merged(entry.withColumn("root", F.col("cls")), found)))
     for k in range(rounds + 1):
-        tried = bounded(chains(entry, k) if k < rounds else crossings(entry))
+        tried = bounded(chains(entry, k) if k < rounds else candidates(docs, entry))
         tried = stage(tried.join(pairs, ["a", "b"], "left_anti"))
         if tried.isEmpty():
             continue

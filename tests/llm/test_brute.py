@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import odd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from conftest import SMALL
@@ -103,6 +104,43 @@ def test_ngram_join_odd_and_empty(spark):
     assert joined(odd.documents(spark, [])) == {}
 
 
+def test_ngram_join_long_columns_in_blocks(spark, monkeypatch):
+    """Every open column goes through the block products, cut into blocks of a few classes; stars and chains find nothing."""
+    rows = near_copies(5)
+    monkeypatch.setattr(ngram_join, "LONG", 1)
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    monkeypatch.setattr(ngram_join, "stars", lambda entry, real=ngram_join.stars: real(entry).where("false"))
+    monkeypatch.setattr(ngram_join, "chains", lambda entry, k, real=ngram_join.chains: real(entry, k).where("false"))
+    df = odd.documents(spark, [(d, t, "en", "s", 0) for d, t in rows])
+    assert joined(df) == groups(rows)
+
+
+def test_signatures_rule_out_no_link(monkeypatch):
+    """A block against a plain version, in several tiles: each linking pair of different components once, and few others."""
+    r = np.random.default_rng(9)
+    monkeypatch.setattr(ngram_join, "TILE", 50)
+    core = r.integers(0, 2**63, 3000, dtype=np.uint64)
+    sets = []
+    for k in range(60):
+        size = [40, 400, 3000][k % 3]
+        keep = core[:size][r.random(size) < (0.99 if k % 2 else 0.85)]
+        sets.append(np.unique(np.concatenate((keep, r.integers(0, 2**63, k % 7 * size // 40 + 1, dtype=np.uint64)))))
+    cls, n = r.permutation(10**6)[:60], np.array([len(s) for s in sets], np.int32)
+    root, main = np.where(np.arange(60) % 4 == 0, 7, cls), np.full(60, 7)
+    signs = [ngram_join.signature(s) for s in sets]
+    out = np.flatnonzero(root != main)
+    both = np.concatenate((out, np.arange(60)))
+    block = pa.table({"cls": cls[both], "n": n[both], "root": root[both], "main": main[both], "sign": [signs[k] for k in both], "left": np.arange(len(both)) < len(out)})
+    got = collections.Counter((p["a"], p["b"]) for p in ngram_join.product(block).to_pylist())
+    common = {(i, j): len(np.intersect1d(sets[i], sets[j])) for i in range(60) for j in range(i)}
+    order = lambda i, j: tuple(int(cls[k]) for k in sorted((i, j), key=lambda k: (n[k], cls[k])))
+    links = {order(i, j) for (i, j), c in common.items() if root[i] != root[j] and 7 * c >= 3 * (n[i] + n[j])}
+    assert links and links <= set(got) and max(got.values()) == 1
+    assert len(got) < 1.3 * len(links) + 5
+    turned = [p for p in ngram_join.product(block).to_pylist() if (p["n"], p["a"]) > (p["m"], p["b"])]
+    assert not turned
+
+
 def test_components_of_chains(spark):
     links = [(k, k + 1) for k in range(60)] + [(200, 100), (100, 150), (300, 300)] + [(500, 501 + k) for k in range(40)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
