@@ -16,9 +16,9 @@ The product goes by columns: the entries of a shingle meet in one sorted run, sh
 3. For the columns that still hold several components, all pairs of different components and fitting sizes are added up, bounded and
    counted in full in the same way. Only entries outside a column's main component meet the others. Columns of more than LONG classes
    are multiplied out inside tasks, a block of BLOCK classes by another, and a pair leaves its task only if the parity signatures of the two
-   sets allow a link. A signature has 1024 bits, each the parity of how many shingles fall on it. Two sets differ in at least as many
-   shingles as their signatures differ in bits (d), and they link only if they differ in (n + m) / 7 or fewer, so pairs with
-   7 d > n + m cannot link: the bound is exact, whatever the sizes, and sharp up to some thousand shingles.
+   sets allow a link. A signature has four bits a shingle, each the parity of how many shingles fall on it. Two sets differ in at least as
+   many shingles as their signatures differ in bits (d), and they link only if they differ in (n + m) / 7 or fewer, so pairs with
+   7 d > n + m cannot link. That is exact for all sizes; beyond MOST_BITS / 4 shingles, where signatures grow no more, it rules out less.
 
 So every link between different components is found, and big groups of near copies never become all their pairs. The bound: pairs that share
 c of their leading shingles share at most c + max(n - lead(n), m - lead(m)) in all. In the first two steps c is the number of columns where the
@@ -46,9 +46,9 @@ from fleetprep.llm.tables import only, query, table
 
 WIDTH = 5
 SKETCH_BITS, CHUNK_BITS = 21, 12
-SIGN_BITS = 10  # log2 of a signature's bits
+LEAST_BITS, MOST_BITS = 1 << 10, 1 << 14  # of a signature
 LONG, BLOCK = 64, 4096  # columns beyond LONG classes are multiplied out in blocks of about BLOCK classes
-TILE = 1 << 16  # pairs that a task looks at together
+TILE, TILE_BYTES = 1 << 16, 1 << 22  # pairs, and bytes of signatures, that a task looks at together
 
 
 def shingle_sets(column: pa.Array) -> list[np.ndarray]:
@@ -76,9 +76,17 @@ def fingerprint(s: np.ndarray) -> int:
 
 
 def signature(s: np.ndarray) -> bytes:
-    """The parity of the number of shingles on each of 2^SIGN_BITS places."""
-    at = scan.mix(s ^ np.uint64(0x3C3C3C3CC3C3C3C3)) >> np.uint64(64 - SIGN_BITS)
-    return np.packbits(np.bincount(at.astype(np.int64), minlength=1 << SIGN_BITS).astype(np.uint8) & 1).tobytes()
+    """The parity of the number of shingles on each place; sets of similar size have equal lengths, or one twice the other."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (4 * len(s) - 1).bit_length()))
+    at = scan.mix(s ^ np.uint64(0x3C3C3C3CC3C3C3C3)) & np.uint64(bits - 1)
+    return np.packbits(np.bincount(at.astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def folded(sign: np.ndarray, words: int) -> np.ndarray:
+    """Signatures as rows of 64-bit words, cut to fewer words: places that fall together add up their parities."""
+    while sign.shape[1] > words:
+        sign = sign[:, : sign.shape[1] // 2] ^ sign[:, sign.shape[1] // 2 :]
+    return sign
 
 
 def lead(n):
@@ -248,11 +256,30 @@ def crossings(entry: DataFrame) -> DataFrame:
     return sized(rows.select(F.struct("x.n", "x.cls", "x.root").alias("x"), F.struct("y.n", "y.cls", "y.root").alias("y")))
 
 
+def may_link(sign: dict[int, np.ndarray], place: np.ndarray, width: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs (i, j) their signatures allow; sign has the signatures by width, place where each row's stands."""
+    out = np.zeros(len(i), bool)
+    both = np.stack((width[i], width[j]))
+    for w, v in np.unique(both, axis=1).T.tolist():
+        these, least = np.flatnonzero((both[0] == w) & (both[1] == v)), min(w, v)
+        step = max(1, TILE_BYTES // (8 * max(w, v)))
+        for lo in range(0, len(these), step):
+            k = these[lo : lo + step]
+            x, y = folded(sign[w][place[i[k]]], least), folded(sign[v][place[j[k]]], least)
+            out[k] = 7 * np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= n[i[k]].astype(np.int64) + n[j[k]]
+    return out
+
+
 def product(group: pa.Table) -> pa.Table:
     """The pairs of a block that are in different components and may link by their sizes and signatures."""
-    cls, n, root, main = (group.column(c).to_numpy() for c in ("cls", "n", "root", "main"))
-    sign = np.frombuffer(b"".join(group.column("sign").to_pylist()), np.uint64).reshape(len(cls), -1)
-    left = group.column("left").to_numpy()
+    cls, n, root, main, left = (group.column(c).to_numpy() for c in ("cls", "n", "root", "main", "left"))
+    texts = group.column("sign").to_pylist()
+    width = np.array([len(t) // 8 for t in texts], np.int64)
+    place, sign = np.zeros(len(cls), np.int64), {}
+    for w in np.unique(width).tolist():
+        own = np.flatnonzero(width == w)
+        place[own] = np.arange(len(own))
+        sign[w] = np.frombuffer(b"".join(texts[k] for k in own), np.uint64).reshape(-1, w)
     x, y = np.flatnonzero(left), np.flatnonzero(~left)
     found = [np.zeros((2, 0), np.int64)]
     step = max(1, TILE // max(1, len(y)))
@@ -261,7 +288,7 @@ def product(group: pa.Table) -> pa.Table:
         once = (root[j] == main[j]) | (n[i] < n[j]) | ((n[i] == n[j]) & (cls[i] < cls[j]))
         i, j = np.nonzero((root[i] != root[j]) & once & (3 * n[j] <= 4 * n[i]) & (3 * n[i] <= 4 * n[j]))
         i, j = x[lo + i], y[j]
-        near = 7 * np.bitwise_count(sign[i] ^ sign[j]).sum(axis=1, dtype=np.int64) <= n[i] + n[j]
+        near = may_link(sign, place, width, n, i, j)
         found.append(np.stack((i[near], j[near])))
     i, j = np.concatenate(found, axis=1)
     turn = (n[j] < n[i]) | ((n[j] == n[i]) & (cls[j] < cls[i]))
