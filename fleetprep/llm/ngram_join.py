@@ -19,6 +19,8 @@ The product goes by columns: the entries of a shingle meet in one sorted run, sh
    sets allow a link. A signature has four bits a shingle, each the parity of how many shingles fall on it. Two sets differ in at least as
    many shingles as their signatures differ in bits (d), and they link only if they differ in (n + m) / 7 or fewer, so pairs with
    7 d > n + m cannot link. That is exact for all sizes; beyond MOST_BITS / 4 shingles, where signatures grow no more, it rules out less.
+   Rounds before this step take, of each class outside the main component, only the pair in a block whose signatures differ least for
+   their sizes. They join nearly all that links, with pairs in proportion to entries.
 
 So every link between different components is found, and big groups of near copies never become all their pairs. The bound: pairs that share
 c of their leading shingles share at most c + max(n - lead(n), m - lead(m)) in all. In the first two steps c is the number of columns where the
@@ -256,9 +258,9 @@ def crossings(entry: DataFrame) -> DataFrame:
     return sized(rows.select(F.struct("x.n", "x.cls", "x.root").alias("x"), F.struct("y.n", "y.cls", "y.root").alias("y")))
 
 
-def may_link(sign: dict[int, np.ndarray], place: np.ndarray, width: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Which pairs (i, j) their signatures allow; sign has the signatures by width, place where each row's stands."""
-    out = np.zeros(len(i), bool)
+def differing(sign: dict[int, np.ndarray], place: np.ndarray, width: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """In how many bits the signatures of each pair (i, j) differ; sign has the signatures by width, place where each row's stands."""
+    out = np.zeros(len(i), np.int64)
     both = np.stack((width[i], width[j]))
     for w, v in np.unique(both, axis=1).T.tolist():
         these, least = np.flatnonzero((both[0] == w) & (both[1] == v)), min(w, v)
@@ -266,12 +268,13 @@ def may_link(sign: dict[int, np.ndarray], place: np.ndarray, width: np.ndarray,
         for lo in range(0, len(these), step):
             k = these[lo : lo + step]
             x, y = folded(sign[w][place[i[k]]], least), folded(sign[v][place[j[k]]], least)
-            out[k] = 7 * np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= n[i[k]].astype(np.int64) + n[j[k]]
+            out[k] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
     return out
 
 
-def product(group: pa.Table) -> pa.Table:
-    """The pairs of a block that are in different components and may link by their sizes and signatures."""
+def product(group: pa.Table, nearest: bool = False) -> pa.Table:
+    """The pairs of a block that are in different components and may link by their sizes and signatures; or, of each class outside
+    the main component, only the pair whose signatures differ least for their sizes."""
     cls, n, root, main, left = (group.column(c).to_numpy() for c in ("cls", "n", "root", "main", "left"))
     texts = group.column("sign").to_pylist()
     width = np.array([len(t) // 8 for t in texts], np.int64)
@@ -285,10 +288,14 @@ def product(group: pa.Table) -> pa.Table:
     step = max(1, TILE // max(1, len(y)))
     for lo in range(0, len(x), step):
         i, j = x[lo : lo + step, None], y[None, :]
-        once = (root[j] == main[j]) | (n[i] < n[j]) | ((n[i] == n[j]) & (cls[i] < cls[j]))
+        once = nearest | (root[j] == main[j]) | (n[i] < n[j]) | ((n[i] == n[j]) & (cls[i] < cls[j]))
         i, j = np.nonzero((root[i] != root[j]) & once & (3 * n[j] <= 4 * n[i]) & (3 * n[i] <= 4 * n[j]))
         i, j = x[lo + i], y[j]
-        near = may_link(sign, place, width, n, i, j)
+        d, both = differing(sign, place, width, i, j), n[i].astype(np.int64) + n[j]
+        near = np.flatnonzero(7 * d <= both)
+        if nearest:
+            near = near[np.lexsort((cls[j[near]], d[near] / both[near], i[near]))]
+            near = near[np.flatnonzero(np.diff(i[near], prepend=-1))]
         found.append(np.stack((i[near], j[near])))
     i, j = np.concatenate(found, axis=1)
     turn = (n[j] < n[i]) | ((n[j] == n[i]) & (cls[j] < cls[i]))
@@ -296,11 +303,15 @@ def product(group: pa.Table) -> pa.Table:
     return pa.table({"a": cls[a], "n": n[a], "ra": root[a], "b": cls[b], "m": n[b], "rb": root[b]})
 
 
-def products(docs: DataFrame, entry: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, entry: DataFrame) -> DataFrame:
+    """cls, sign of the classes of some entries."""
+    wanted = stage(entry.select("cls").distinct())
+    signs = whole_sets(docs, bitmap(wanted, "cls"), signature, "binary").withColumnRenamed("shingles", "sign")
+    return stage(signs.join(wanted, "cls").dropDuplicates(["cls"]))
+
+
+def products(entry: DataFrame, signs: DataFrame, nearest: bool = False) -> DataFrame:
     """As crossings, for long columns: blocks of classes are multiplied in tasks, and pairs that cannot link stay there."""
-    classes_of = stage(entry.select("cls").distinct())
-    signs = whole_sets(docs, bitmap(classes_of, "cls"), signature, "binary").withColumnRenamed("shingles", "sign")
-    signs = stage(signs.join(classes_of, "cls").dropDuplicates(["cls"]))
     parts = F.ceil(F.col("k") / BLOCK).cast("int")
     rows = entry.withColumn("part", F.pmod(F.xxhash64("cls"), parts).cast("int"))
     all_parts = F.sequence(F.lit(0), parts - 1)
@@ -308,13 +319,11 @@ def products(docs: DataFrame, entry: DataFrame) -> DataFrame:
     as_x = F.when(F.col("root") != F.col("main"), F.transform(all_parts, lambda p: place(F.col("part"), p, True)))
     as_y = F.transform(all_parts, lambda p: place(p, F.col("part"), False))
     rows = rows.select("h", "cls", "n", "root", "main", F.inline(F.concat(F.coalesce(as_x, F.slice(as_y, 1, 0)), as_y)))
-    return rows.join(signs, "cls").groupBy("h", "i", "j").applyInArrow(product, "a long, n int, ra long, b long, m int, rb long")
 
+    def run(group: pa.Table) -> pa.Table:
+        return product(group, nearest)
 
-def candidates(docs: DataFrame, entry: DataFrame) -> DataFrame:
-    """All pairs of open columns that are in different components, but those of long columns that cannot link."""
-    pairs, long = crossings(entry.where(F.col("k") <= LONG)), entry.where(F.col("k") > LONG)
-    return pairs if long.isEmpty() else pairs.unionByName(products(docs, long))
+    return rows.join(signs, "cls").groupBy("h", "i", "j").applyInArrow(run, "a long, n int, ra long, b long, m int, rb long")
 
 
 def whole_sets(docs: DataFrame, wanted: np.ndarray, form=None, kind: str = "array<long>") -> DataFrame:
@@ -368,14 +377,27 @@ def similar(docs: DataFrame, rounds: int = 2) -> DataFrame:
     found = stage(verified(docs, tried))
     links, pairs = found.select("a", "b"), tried.select("a", "b")
     entry = stage(open_entries(merged(entry.withColumn("root", F.col("cls")), found)))
-    for k in range(rounds + 1):
-        tried = bounded(chains(entry, k) if k < rounds else candidates(docs, entry))
+    signs = None
+    for k, step in enumerate(["chains"] * rounds + ["nearest"] * rounds + ["all"]):
+        long = entry.where(F.col("k") > LONG)
+        if step != "chains":
+            some = not long.isEmpty()
+            signs = signatures(docs, long) if some and signs is None else signs
+        if step == "chains":
+            tried = bounded(chains(entry, k))
+        elif step == "nearest" and some:
+            tried = products(long, signs, nearest=True).dropDuplicates(["a", "b"])
+        elif step == "all":
+            short = crossings(entry.where(F.col("k") <= LONG))
+            tried = bounded(short.unionByName(products(long, signs)) if some else short)
+        else:
+            continue
         tried = stage(tried.join(pairs, ["a", "b"], "left_anti"))
         if tried.isEmpty():
             continue
         found = stage(verified(docs, tried))
         links, pairs = links.unionByName(found.select("a", "b")), pairs.unionByName(tried.select("a", "b"))
-        if k < rounds:
+        if step != "all":
             entry = stage(open_entries(merged(entry, found)))
     roots = components(links)
 

@@ -72,8 +72,8 @@ def near_copies(seed=3):
     return [(k, t) for k, t in enumerate(rows)]
 
 
-def joined(df):
-    return collections.Counter(tuple(r) for r in ngram_join.similar(df).select("doc_id", "n_shingles", "component_id").collect())
+def joined(df, rounds=2):
+    return collections.Counter(tuple(r) for r in ngram_join.similar(df, rounds).select("doc_id", "n_shingles", "component_id").collect())
 
 
 def test_ngram_join_equals_all_pairs(spark):
@@ -105,7 +105,8 @@ def test_ngram_join_odd_and_empty(spark):
 
 
 def test_ngram_join_long_columns_in_blocks(spark, monkeypatch):
-    """Every open column goes through the block products, cut into blocks of a few classes; stars and chains find nothing."""
+    """Every open column goes through the block products, cut into blocks of a few classes; stars and chains find nothing, and
+    the nearest pairs either join some or are left out."""
     rows = near_copies(5)
     monkeypatch.setattr(ngram_join, "LONG", 1)
     monkeypatch.setattr(ngram_join, "BLOCK", 3)
@@ -113,6 +114,7 @@ def test_ngram_join_long_columns_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "chains", lambda entry, k, real=ngram_join.chains: real(entry, k).where("false"))
     df = odd.documents(spark, [(d, t, "en", "s", 0) for d, t in rows])
     assert joined(df) == groups(rows)
+    assert joined(df, 0) == groups(rows)
 
 
 def test_signatures_rule_out_no_link(monkeypatch):
@@ -137,6 +139,9 @@ def test_signatures_rule_out_no_link(monkeypatch):
     links = {order(i, j) for (i, j), c in common.items() if root[i] != root[j] and 7 * c >= 3 * (n[i] + n[j])}
     assert links and links <= set(got) and max(got.values()) == 1
     assert len(got) < 1.3 * len(links) + 5
+    nearest = ngram_join.product(block, True).to_pylist()
+    assert {(p["a"], p["b"]) for p in nearest} <= set(got) and len(nearest) <= len(out)
+    assert {p[c] for p in nearest for c in "ab"} >= {int(cls[k]) for k in out} & {c for pair in links for c in pair}
     turned = [p for p in ngram_join.product(block).to_pylist() if (p["n"], p["a"]) > (p["m"], p["b"])]
     assert not turned
 
