@@ -365,7 +365,7 @@ def merged(entry: DataFrame, links: DataFrame) -> DataFrame:
     return entry.join(roots, "root", "left").withColumn("root", F.coalesce("joined", "root")).drop("joined")
 
 
-def similar(docs: DataFrame, rounds: int = 2) -> DataFrame:
+def similar(docs: DataFrame, rounds: int = 1) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     docs = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     rows = stage(classes(docs))
