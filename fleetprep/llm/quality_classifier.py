@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetprep.cluster import small_batches
 from fleetprep.llm import scan
 from fleetprep.llm.quality_rules import SYMBOLS, duplicate_lines, repeated_words
 from fleetprep.llm.tables import only, query, table
@@ -182,6 +183,7 @@ def score(docs: DataFrame, labels: DataFrame, at_least: float = 0.3, max_train:
 
 def accepted(docs: DataFrame, labels: DataFrame, at_least: float = 0.3, max_train: int = 20_000) -> DataFrame:
     """The documents that score at_least or more, with all their columns; nothing is shuffled."""
+    small_batches(docs.sparkSession)
     forest = fit(plain(docs), only(labels, "doc_id", "quality"), max_train)
     at = docs.columns.index("text")
 

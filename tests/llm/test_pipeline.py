@@ -5,12 +5,14 @@ import zlib
 
 import numpy as np
 import odd
+import pyarrow as pa
 from conftest import SMALL
 from pyspark.sql import functions as F
 from test_brute import groups, parts, plain_alignment, words
 
 import corpus_pipeline
-from fleetprep.llm import quality_classifier, token_files
+from fleetprep.cluster import BATCH_BYTES
+from fleetprep.llm import ngram_join, quality_classifier, token_files
 
 
 def test_each_stage_against_brute_force(spark):
@@ -78,3 +80,33 @@ def test_odd_and_empty_tables(spark, folder):
     assert {1, 2, 3} & {r["doc_id"] for r in once.collect()} == {1}
     clean = corpus_pipeline.not_in_benchmark(spark, odd.documents(spark), folder)
     assert not {1, 2, 3} & {r["doc_id"] for r in clean.collect()}
+
+
+def test_rows_go_to_workers_in_small_batches(spark):
+    """What a worker and its executor hold at once; a size that the session sets itself stays."""
+    docs = spark.range(6000, numPartitions=1).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 150), x -> uuid())) AS text")
+    some = docs.limit(20)
+    labels = some.selectExpr("doc_id", "doc_id % 2 AS quality")
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    for work in (lambda: quality_classifier.accepted(some, labels), lambda: ngram_join.similar(some)):
+        spark.conf.unset(BATCH_BYTES)
+        assert work().count() > 0
+        sizes = [r["size"] for r in docs.mapInArrow(run, "size long").collect()]
+        assert sum(sizes) > 30 << 20 and max(sizes) < 2 << 20
+    spark.conf.set(BATCH_BYTES, "8m")
+    assert ngram_join.similar(some).count() == 20 and spark.conf.get(BATCH_BYTES) in ("8m", str(8 << 20), f"{8 << 20}b")
+    spark.conf.unset(BATCH_BYTES)
+
+
+def test_sketch_cells_stop_at_their_largest_value():
+    rng = np.random.default_rng(5)
+    counts = np.zeros(1 << ngram_join.SKETCH_BITS, np.uint8)
+    slices = [np.concatenate((rng.integers(0, 1 << 63, 3000, np.uint64), np.full(200, 7 << 50, np.uint64))) for _ in range(3)]
+    for shingles in slices:
+        ngram_join.count_cells(counts, shingles)
+    plain = np.bincount(np.concatenate(slices) >> np.uint64(64 - ngram_join.SKETCH_BITS), minlength=len(counts))
+    assert plain.max() >= 600 and (counts == np.minimum(plain, 255)).all()
