@@ -23,6 +23,7 @@ import os
 import re
 import uuid
 import zlib
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -62,15 +63,23 @@ PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 TOGETHER = 50  # words that are encoded in one call
 
 
+@cache
+def library(path: str):
+    """The tokenizer, read once by each worker process: a worker that reads it for every task grows by some 4 MB a task."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 class Encoder:
     """Ids of words, each encoded once. The tokenizer lower-cases, and parts letters, digits and marks, so words are taken in lower case
     (unless the text may hold a special token) and cut where the kind of ASCII or Latin-1 characters changes; digits stand alone."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        self.tokenizer = library(path)
+        from tokenizers import pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelling = {c: spell(chr(c))[0][0] for c in range(0xDF, 0x100)}
         self.vocabulary = self.tokenizer.get_vocab_size()

@@ -110,3 +110,13 @@ def test_sketch_cells_stop_at_their_largest_value():
         ngram_join.count_cells(counts, shingles)
     plain = np.bincount(np.concatenate(slices) >> np.uint64(64 - ngram_join.SKETCH_BITS), minlength=len(counts))
     assert plain.max() >= 600 and (counts == np.minimum(plain, 255)).all()
+
+
+def test_tasks_of_a_worker_share_the_tokenizer():
+    """It is read once by each process; the words that a task keeps are its own."""
+    one, other = (token_files.Encoder(token_files.tokenizer_path()) for _ in range(2))
+    assert one.tokenizer is other.tokenizer
+    ids, sizes = one.encode(pa.array(["several words", ""], pa.large_string()))
+    assert len(one.keys) == 2 and not len(other.keys)
+    again, _ = other.encode(pa.array(["several words", ""], pa.large_string()))
+    assert ids.tolist() == again.tolist() and sizes.tolist()[1] == 1
