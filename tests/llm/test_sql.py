@@ -1,12 +1,18 @@
 """The queries that have a SQL twin, and odd tables for the operators behind them."""
 
+import pathlib
+import random
+import re
+
 import duckdb
 import odd
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from oracle import compare, connect
 
-from fleetprep.llm import catalogue, licenses, line_dedup, mixing, passage_dedup, quality_rules
+from fleetprep.cluster import shared_folder
+from fleetprep.llm import catalogue, licenses, line_dedup, mixing, ngram_join, passage_dedup, quality_rules, scan
 
 RUN, SQL = catalogue.registered()
 
@@ -115,6 +121,17 @@ def test_short_lines_go(spark):
     assert RUN["op2_every_line_dedup"](spark, SMALL).where("n_words < 8").count() > 0
 
 
+def test_moved_words_are_other_windows(spark):
+    """x y y x and y x x y: windows of the same words at places of equal sums."""
+    rows = [(1, "x y y x z y x x y z", "en", "s", 0), (2, "x y y x z x y y x z", "en", "s", 0)]
+    got = compare(spark, odd_duck(rows), "", lambda s, _: quality_rules.judge(odd.documents(s, rows)), SQL["op10_quality_rules"])
+    assert got is None
+    assert len(ngram_join.shingle_sets(next(scan.slices(pa.array([rows[0][1]])))[2])[0]) == 6
+    words = odd.prose(46, 1)
+    rows = [(1, f"x y y x {words}", "en", "s", 0), (2, f"y x x y {words}", "en", "s", 0)]
+    assert passage_dedup.removals(odd.documents(spark, rows)).count() == 0
+
+
 def test_passage_across_lines(spark):
     shared = odd.prose(54, 5).split()
     lines = lambda k: "\n".join(" ".join(shared[i : i + k]) for i in range(0, 54, k))
@@ -132,6 +149,59 @@ def test_passage_odd_rows_equal_sql(spark):
     assert {r["doc_id"] for r in passage_dedup.removals(odd.documents(spark)).collect()} == {2, 12}  # NEAR shares 30 words on either side
 
 
+def passages(rows, width):
+    """Plain search: the runs of words in a later copy of a window and in no first copy."""
+    texts = {d: [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"\S+", t)] for d, t in rows}
+    found = {}
+    for d in sorted(texts):
+        for i in range(len(texts[d]) - width + 1):
+            found.setdefault(tuple(w for *_, w in texts[d][i : i + width]), []).append((d, i))
+    later, firsts = set(), set()
+    for first, *rest in found.values():
+        later |= {(d, i + k) for d, i in rest for k in range(width)}
+        firsts |= {(first[0], first[1] + k) for k in range(width) if rest}
+    goes, out = later - firsts, []
+    for d, i in sorted(goes):
+        out = [*out[:-1], (d, out[-1][1], texts[d][i][1], out[-1][3] + 1)] if (d, i - 1) in goes else [*out, (d, *texts[d][i][:2], 1)]
+    return out
+
+
+@pytest.mark.parametrize("width", [3, 8, 21, 50])
+def test_passages_equal_plain_search(spark, width):
+    """Edited copies, passages at several places, short vocabularies with many ties, and copies of copies."""
+    r = random.Random(width)
+    rows = [(k, " ".join(r.choice("ab") for _ in range(r.randint(0, 90)))) for k in range(6)]
+    base = odd.prose(400, 1).split()
+    for k in range(10, 50):
+        lo = r.randint(0, 330)
+        words = base[lo : lo + r.randint(1, 180)]
+        for _ in range(r.choice([0, 0, 1, 3])):
+            words[r.randrange(len(words))] = r.choice(["x", "y"])
+        rows.append((k, "\n".join([odd.prose(r.randint(0, 20), k % 5), " ".join(words), odd.prose(r.randint(0, 9), 100 + k)])))
+    rows += [(k + 100, t.upper()) for k, t in rows if k % 3 == 0]
+    docs = odd.documents(spark, [(k, t, "en", "s", 0) for k, t in rows]).repartition(3)
+    assert sorted(tuple(x) for x in passage_dedup.removals(docs, width).collect()) == passages(rows, width) != []
+
+
+def test_passage_of_a_document_given_twice(spark):
+    """A repeated row is no copy of its windows: it protects no words of the passage that goes."""
+    shared = odd.prose(80, 5)
+    rows = [(1, shared, "en", "s", 0), (2, f"{odd.prose(60, 6)} {shared} {odd.prose(60, 7)}", "en", "s", 0)]
+    once = [tuple(x) for x in passage_dedup.removals(odd.documents(spark, rows)).collect()]
+    assert [x[3] for x in once] == [80]
+    assert [tuple(x) for x in passage_dedup.removals(odd.documents(spark, [*rows, rows[1]])).collect()] == once * 2
+
+
+def test_passages_stage_less_than_the_texts(spark):
+    """Equal blocks are settled as blocks; windows are only compared where copies part."""
+    rows = [(k, f"{odd.prose(30, 100 + k)} {odd.prose(3000, k % 4)}", "en", "s", 0) for k in range(40)]
+    files = lambda: {p: p.stat().st_size for p in pathlib.Path(shared_folder(spark)).rglob("*.parquet")}
+    before = files()
+    assert passage_dedup.removals(odd.documents(spark, rows)).count() == 36
+    staged = sum(n for p, n in files().items() if p not in before)
+    assert 0 < staged < sum(len(x[1]) for x in rows)
+
+
 @pytest.mark.parametrize("width", [3, 8, 13, 40])
 def test_wrapped_notices(spark, width):
     notices = {
